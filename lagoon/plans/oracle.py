@@ -178,6 +178,36 @@ ASSEMBLE_LONG = (f"WITH {PANEL}, {stats_cte('st', 'panel', STATIC_SCALED)}\n" +
     for i, expr in enumerate([z("c_acctbal", digits=None), z("c_nationkey", digits=None),
                               "CASE WHEN is_household THEN 1.0 ELSE 0.0 END"])))
 
+PRED = (f"pred AS (SELECT event_id, value AS label, avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id "
+        f"ROWS BETWEEN {N} PRECEDING AND 1 PRECEDING) AS prediction FROM events)")
+
+REGRESSION_METRICS = (f"WITH {PRED}\nSELECT count(*) AS n, round(sqrt(avg((label - prediction) * (label - prediction))), 6) AS rmse, "
+                      "round(avg(abs(label - prediction)), 6) AS mae, "
+                      "round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 6) AS r2 "
+                      "FROM pred WHERE prediction IS NOT NULL")
+
+MAE_PCT_OF_MEAN = (f"WITH {PRED}, m AS (SELECT avg(abs(label - prediction)) FILTER (WHERE prediction IS NOT NULL) AS mae, "
+                   "avg(label) AS mean_label FROM pred)\n"
+                   "SELECT round(mae, 6) AS mae, round(mean_label, 6) AS mean_label, round(mae / mean_label * 100.0, 6) AS mae_pct FROM m")
+
+BATCHES = (f"WITH {PRED}, sh AS (SELECT event_id, {bucket('event_id', N_SHARDS)} AS shard, "
+           "(label - prediction) * (label - prediction) AS se FROM pred WHERE prediction IS NOT NULL), "
+           "rk AS (SELECT shard, se, row_number() OVER (PARTITION BY shard ORDER BY event_id) AS rn FROM sh), "
+           f"b AS (SELECT shard, (rn - 1) // {BATCH_SIZE} AS batch, count(*) AS n, avg(se) AS loss FROM rk GROUP BY 1, 2)\n")
+
+WEIGHTED_LOSS = BATCHES + ("SELECT round(sum(loss * n) / greatest(sum(n), 1), 6) AS weighted_loss, "
+                           "CAST(sum(n) AS BIGINT) AS n_rows FROM b")
+
+MEAN_BATCH_LOSS = BATCHES + "SELECT round(avg(loss), 6) AS mean_batch_loss, count(*) AS n_batches FROM b"
+
+AUC_BY_RANK = """WITH s AS (
+  SELECT CAST(value AS DOUBLE) AS score, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+         CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) AS DOUBLE) AS neg
+  FROM events WHERE value IS NOT NULL GROUP BY 1),
+c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""
+
 ORACLES = {
     "panel_load": PANEL_LOAD,
     "fit_stats": FIT_STATS,
@@ -201,4 +231,10 @@ ORACLES = {
     "preview_topk": PREVIEW_TOPK,
     "lag_scaled": LAG_SCALED,
     "lag_unscaled": LAG_UNSCALED,
+    "model_roundtrip": LAG_SCALED,
+    "regression_metrics": REGRESSION_METRICS,
+    "mae_pct_of_mean": MAE_PCT_OF_MEAN,
+    "weighted_loss": WEIGHTED_LOSS,
+    "mean_batch_loss": MEAN_BATCH_LOSS,
+    "auc_by_rank": AUC_BY_RANK,
 }
