@@ -208,6 +208,15 @@ c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOU
 SELECT round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS auc,
        CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c"""
 
+STREAM_IS_EVEN = "SELECT event_id, event_id % 2 = 0 AS is_even FROM events"
+
+STREAM_SEQUENCE = (f"WITH {stats_cte('st', 'events', ['value'])}, "
+                   f"zed AS (SELECT event_id, user_id, ts, {z('value')} AS z_value FROM events), "
+                   f"hist AS (SELECT event_id, coalesce(list(z_value) FILTER (WHERE z_value IS NOT NULL) OVER w, []) AS h "
+                   f"FROM zed {window('user_id', 'ts, event_id')})\n"
+                   f"SELECT event_id, 'value' AS feature, CAST(unnest(range(1, {N + 1})) AS INTEGER) AS pos, "
+                   f"CAST(unnest(list_resize(h, {N}, 0.0)) AS FLOAT) AS value FROM hist")
+
 ORACLES = {
     "panel_load": PANEL_LOAD,
     "fit_stats": FIT_STATS,
@@ -237,4 +246,6 @@ ORACLES = {
     "weighted_loss": WEIGHTED_LOSS,
     "mean_batch_loss": MEAN_BATCH_LOSS,
     "auc_by_rank": AUC_BY_RANK,
+    "stream_is_even": STREAM_IS_EVEN,
+    "stream_sequence": STREAM_SEQUENCE,
 }
