@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lagoon.plans import events, orders, streams
+from lagoon.plans import events, orders, streams, training
 from lagoon.plans.oracle import ORACLES
 
-QUERIES = {**orders.QUERIES, **events.QUERIES, **streams.QUERIES}
+QUERIES = {**orders.QUERIES, **events.QUERIES, **streams.QUERIES, **training.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
