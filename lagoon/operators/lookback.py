@@ -138,4 +138,4 @@ def lookback(
         .where(F.col(_HEAD))
         .drop(_HEAD)
     )
-    return settled.unionByName(redone)
+    return settled.unionByName(redone).select(*plain.columns)
