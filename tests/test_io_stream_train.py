@@ -24,9 +24,7 @@ H1,2025-01-02,11.0,3,19.5,No,4.0
 """
 
 
-def test_csv_panel_reads_and_flags(tmp_dir):
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+def test_csv_panel_reads_and_flags(spark, tmp_dir):
     path = os.path.join(tmp_dir, "h.csv")
     with open(path, "w") as f:
         f.write(HOUSEHOLD_CSV)
