@@ -8,9 +8,9 @@ partitions.  When one entity may hold a third of all rows, that task is the
 whole job.
 
 ``lookback`` keeps the plain plan unless an entity is hot (more than
-``hot_rows`` rows).  Hot entities are cut into contiguous time buckets of
-about ``bucket_rows`` rows, and the window runs per (entity, bucket).  This
-is exact for every row whose N predecessors are in its own bucket.  Only the
+``hot_rows`` rows).  Hot entities are cut into contiguous buckets of about
+``bucket_rows`` rows, and the window runs per (entity, bucket).  This is
+exact for every row whose N predecessors are in its own bucket.  Only the
 first N rows of each later bucket ("heads") miss context.  They are
 recomputed in a second, small window over heads plus the last N rows of
 every bucket ("tails").  In entity order, the rows just before a head in that
@@ -19,9 +19,21 @@ head of the same bucket or a tail of an earlier one, including buckets with
 fewer than N rows.  The reduced set holds at most ``2 N`` rows per bucket, so
 the second pass stays small even when one entity holds a third of the data.
 
-The hot-entity table is bounded by ``rows / hot_rows``.  It is counted before
-it is broadcast, and above ``broadcast_limit`` a shuffle join with AQE skew
-splitting is used instead.
+Buckets follow row counts, not clock time, so a hot entity whose rows come
+in bursts still gets even buckets.  Its time range is cut into
+``slots_per_bucket`` fine slots per target bucket.  Rows are counted per
+(entity, slot), which is a partial aggregate.  A slot starts a new bucket
+every ``bucket_rows`` rows of running count.  That running count is a
+distributed prefix sum, so no single task holds the slot table of a hot
+entity.  The mapping is monotone in time, so buckets stay contiguous.  A
+single slot holding more than ``bucket_rows`` rows (many rows at nearly the
+same instant) stays one bucket.
+
+The hot-entity table is bounded by ``rows / hot_rows``, and the slot table
+by ``slots_per_bucket * rows / bucket_rows``.  Both are counted before they
+are broadcast.  Above ``broadcast_limit`` a shuffle join with AQE skew
+splitting is used instead; in that case only the hot rows take the extra
+shuffle.
 """
 
 from __future__ import annotations
@@ -32,15 +44,19 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lagoon.operators.prefix import ordered_prefix
+
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_BUCKET_ROWS = 500_000
 DEFAULT_BROADCAST_LIMIT = 200_000
+DEFAULT_SLOTS_PER_BUCKET = 16
 
 _B = "__lb_bucket"
 _HOT = "__lb_hot"
 _RN = "__lb_rn"
 _CNT = "__lb_cnt"
 _HEAD = "__lb_head"
+_SLOT = "__lb_slot"
 
 
 def _ordinal(df: DataFrame, col: str) -> Column | None:
@@ -58,6 +74,49 @@ def _ordinal(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+def _bucketed(df: DataFrame, entity: str, ordinal: Column, hot: DataFrame, n_hot: int,
+              bucket_rows: int, slots_per_bucket: int, broadcast_limit: int) -> DataFrame:
+    """``df`` plus ``_HOT`` (bool) and ``_B`` (bucket id, 0 for every other entity).
+
+    ``hot`` holds ``entity, __n, __lo, __hi`` for the hot entities.
+    """
+    hot = hot.select(
+        entity,
+        (F.greatest(F.ceil(F.col("__n") / F.lit(int(bucket_rows))), F.lit(1))
+         * F.lit(int(slots_per_bucket))).alias("__g"),
+        "__lo", "__hi",
+        F.lit(True).alias(_HOT),
+    )
+    if n_hot <= broadcast_limit:
+        hot = F.broadcast(hot)
+    span = (F.col("__hi") - F.col("__lo")).cast("double") + F.lit(1.0)
+    slot = F.when(
+        F.col(_HOT) & ordinal.isNotNull(),          # nulls sort first: slot 0
+        F.least(F.floor((ordinal - F.col("__lo")).cast("double") / span * F.col("__g")),
+                F.col("__g") - 1).cast("long"),
+    ).otherwise(F.lit(0).cast("long"))
+    tagged = (
+        df.join(hot, on=entity, how="left")
+        .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+        .withColumn(_SLOT, slot)
+        .drop("__g", "__lo", "__hi")
+    )
+
+    # Slot -> bucket: rows in earlier slots of the same entity, in units of bucket_rows.
+    per_slot = tagged.where(F.col(_HOT)).groupBy(entity, _SLOT).agg(F.count(F.lit(1)).alias("__c"))
+    before = ordered_prefix(per_slot, _SLOT, {"__before": F.col("__c")}, group_cols=[entity],
+                            inclusive=False)
+    mapping = before.select(entity, _SLOT,
+                            F.floor(F.col("__before") / F.lit(int(bucket_rows))).cast("long").alias(_B))
+    if mapping.count() <= broadcast_limit:
+        out = tagged.join(F.broadcast(mapping), on=[entity, _SLOT], how="left")
+    else:
+        hot_rows = tagged.where(F.col(_HOT)).join(mapping, on=[entity, _SLOT], how="inner")
+        cold_rows = tagged.where(~F.col(_HOT)).withColumn(_B, F.lit(None).cast("long"))
+        out = hot_rows.unionByName(cold_rows)
+    return out.withColumn(_B, F.coalesce(F.col(_B), F.lit(0).cast("long"))).drop(_SLOT)
+
+
 def entity_window(entity: str | Sequence[str], order_cols: Sequence[str]) -> WindowSpec:
     parts = [entity] if isinstance(entity, str) else list(entity)
     return Window.partitionBy(*parts).orderBy(*order_cols)
@@ -72,6 +131,7 @@ def lookback(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    slots_per_bucket: int = DEFAULT_SLOTS_PER_BUCKET,
 ) -> DataFrame:
     """Append ``build(window)`` columns; ``build`` may look back at most ``depth`` rows.
 
@@ -97,27 +157,7 @@ def lookback(
     n_hot = hot.count()
     if n_hot == 0:
         return plain
-
-    hot = hot.select(
-        entity,
-        F.greatest(F.ceil(F.col("__n") / F.lit(int(bucket_rows))), F.lit(1)).alias("__k"),
-        "__lo", "__hi",
-        F.lit(True).alias(_HOT),
-    )
-    if n_hot <= broadcast_limit:
-        hot = F.broadcast(hot)
-    span = (F.col("__hi") - F.col("__lo")).cast("double") + F.lit(1.0)
-    bucket = F.when(
-        F.col(_HOT),
-        F.least(F.floor((ordinal - F.col("__lo")).cast("double") / span * F.col("__k")),
-                F.col("__k") - 1).cast("long"),
-    ).otherwise(F.lit(0).cast("long"))
-    tagged = (
-        df.join(hot, on=entity, how="left")
-        .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
-        .withColumn(_B, bucket)
-        .drop("__k", "__lo", "__hi")
-    )
+    tagged = _bucketed(df, entity, ordinal, hot, n_hot, bucket_rows, slots_per_bucket, broadcast_limit)
 
     w_bucket = entity_window([entity, _B], order_cols)
     w_all = Window.partitionBy(entity, _B)

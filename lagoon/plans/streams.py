@@ -12,11 +12,14 @@ from lagoon.streaming.history import stream_histories
 from lagoon.streaming.projection import run_to_parquet, table_stream, with_parity
 
 KEY = EVENTS.row_key
+# Input cap per micro-batch.  The stateful step gathers one user's rows of a
+# micro-batch, so this cap, not the table size, bounds the biggest group.
+BATCH_BYTES = 256 * 1024 * 1024
 
 
 def stream_is_even(spark, sf_dir):
     """Stateless projection on a stream (append, availableNow), read back from its sink."""
-    stream = table_stream(spark, sf_dir, "events")
+    stream = table_stream(spark, sf_dir, "events", max_bytes_per_trigger=BATCH_BYTES)
     projected = with_parity(stream.select(KEY), col=KEY)
     sink = run_to_parquet(projected, spark, "events-is-even")
     return spark.read.parquet(sink)
@@ -25,7 +28,7 @@ def stream_is_even(spark, sf_dir):
 def stream_sequence(spark, sf_dir):
     """Stateful histories of ``value`` per user on a stream; same output as the batch sequencer."""
     stats = fit_column_stats(events_panel(spark, sf_dir), ["value"])["value"]
-    stream = table_stream(spark, sf_dir, "events")
+    stream = table_stream(spark, sf_dir, "events", max_bytes_per_trigger=BATCH_BYTES)
     hist = stream_histories(stream, EVENTS.entity, EVENTS.order_cols, KEY, "value",
                             stats["mean"], stats["std"], SEQ_LEN)
     sink = run_to_parquet(hist, spark, "events-history")

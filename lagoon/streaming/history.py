@@ -5,8 +5,11 @@ cannot run there.  Here each entity keeps its last N values in state
 (``applyInPandasWithState``), which bounds state to N values per entity
 whatever the stream length.  A micro-batch may hand one entity's rows over
 in several chunks; they are gathered and put in entity order before the ring
-advances.  Rows older than an earlier micro-batch are out of contract
-(there is no late-data handling).
+advances.  The gathered rows are at most one micro-batch, so the source's
+per-trigger cap (``maxBytesPerTrigger`` / ``maxFilesPerTrigger``, see
+``table_stream``) bounds the biggest group even when one entity holds a
+third of the stream.  Rows older than an earlier micro-batch are out of
+contract (there is no late-data handling).
 
 Scaling and rounding happen in Spark before the state step (the same
 ``round`` as the batch path).  The pandas step only slides a window over the

@@ -11,17 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 from lagoon.session import scratch_path
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """A file stream over one Parquet table of a directory, with its declared schema.
 
     The schema comes from the table's own footer, so nothing is inferred
-    while the stream runs.
+    while the stream runs.  ``max_files_per_trigger`` or
+    ``max_bytes_per_trigger`` (at most one) caps the input of a micro-batch,
+    and ``availableNow`` honours the cap by running several micro-batches.
+    A file is never split between micro-batches.
     """
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return reader.parquet(sf_dir)
 
 

@@ -119,3 +119,45 @@ def test_lag_hot_split_exact(spark):
     a = plain.transform(events)
     b = split.transform(events)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _bursty(spark):
+    """Entity a: 40 rows over a year plus 360 rows inside 60 days; entity b: 30 rows."""
+    import datetime as dt
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(days=9 * i), i, float(i)) for i in range(40)]
+    rows += [("a", start + dt.timedelta(days=100, minutes=240 * i), 100 + i, float(i % 17)) for i in range(360)]
+    rows += [("b", start + dt.timedelta(days=i), 1000 + i, float(i)) for i in range(30)]
+    return spark.createDataFrame(rows, "e string, ts timestamp_ntz, id long, x double")
+
+
+def test_hot_buckets_follow_row_counts_not_time(spark):
+    """A burst in one hot entity still yields buckets of about bucket_rows rows, in time order."""
+    from lagoon.operators.lookback import _B, _HOT, _bucketed, _ordinal
+    df = _bursty(spark)
+    ordinal = _ordinal(df, "ts")
+    hot = (df.groupBy("e").agg(F.count(F.lit(1)).alias("__n"), F.min(ordinal).alias("__lo"),
+                               F.max(ordinal).alias("__hi")).where(F.col("__n") > 50))
+    tagged = _bucketed(df, "e", ordinal, hot, 1, bucket_rows=40, slots_per_bucket=16, broadcast_limit=1000)
+    sizes = {r[_B]: r["n"] for r in tagged.where(F.col(_HOT)).groupBy(_B).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sum(sizes.values()) == 400
+    assert max(sizes.values()) <= 80          # uniform time cuts would put 180+ rows in one bucket
+    # buckets are contiguous: the order key never goes down when the bucket goes up
+    spans = tagged.where(F.col(_HOT)).groupBy(_B).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy(_B).collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
+    assert tagged.where(~F.col(_HOT)).select(_B).distinct().collect()[0][0] == 0
+
+
+@pytest.mark.parametrize("limit", [1000, 0])      # broadcast mapping, and the shuffle-join branch
+def test_lookback_bursty_hot_entity_exact(spark, limit):
+    from lagoon.operators.lookback import lookback
+
+    def build(w):
+        return [F.lag("x", 1).over(w).alias("l1"), F.lag("x", 3).over(w).alias("l3"),
+                F.collect_list("x").over(w.rowsBetween(-3, -1)).alias("h")]
+
+    df = _bursty(spark)
+    plain = lookback(df, "e", ["ts", "id"], 3, build, hot_rows=None)
+    split = lookback(df, "e", ["ts", "id"], 3, build, hot_rows=50, bucket_rows=40, broadcast_limit=limit)
+    assert split.count() == 430
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
