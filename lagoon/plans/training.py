@@ -18,12 +18,13 @@ from lagoon.plans.common import (BATCH_SIZE, EVENT_FEATURES, ORDER_FEATURES, SEE
 from lagoon.plans.events import lag_stage
 from lagoon.plans.orders import sequencer
 from lagoon.sources.panels import EVENTS, ORDERS, events_panel, orders_panel
-from lagoon.sources.training_sets import read_shards, write_training_set
+from lagoon.sources.training_sets import read_shards, read_training_set, write_training_set
 
 KEY = ORDERS.row_key
 GBT_TREES = 100
 SEQNET_EPOCHS = 6
-SEQNET_SHARDS = 2
+SEQNET_MIN_SHARDS = 2            # the original workflow trains on two workers
+SEQNET_ROWS_PER_SHARD = 1_000_000
 
 
 def _gbt():
@@ -76,12 +77,14 @@ def _model_inputs(scaler, seq_model, df):
     )
 
 
-def _fit_seqnet(spark, sf_dir, epochs=SEQNET_EPOCHS, n_shards=SEQNET_SHARDS):
+def _fit_seqnet(spark, sf_dir, epochs=SEQNET_EPOCHS):
     train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
     scaler = ColumnScaler(inputCols=STATIC_SCALED).fit(train)
     seq_model = sequencer(null_policy="mask").fit(train)
     path = write_training_set(_model_inputs(scaler, seq_model, train), spark, "seqnet-train",
                               shuffle_key=KEY, seed=SEED)
+    n_shards = seqnet.shard_count(read_training_set(spark, path).count(), SEQNET_ROWS_PER_SHARD,
+                                  SEQNET_MIN_SHARDS)
     shards = read_shards(spark, path, KEY, n_shards)
     result = seqnet.train(spark, shards, SHAPE, SEQ_LEN, n_shards, epochs=epochs,
                           batch_size=BATCH_SIZE, seed=SEED)
