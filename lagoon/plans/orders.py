@@ -81,8 +81,8 @@ def mask_long(spark, sf_dir):
 
 def _value_mask_cells(f: str):
     seq, mask = F.col(f"{f}_sequence"), F.col(f"{f}_mask")
-    return F.transform(F.sequence(F.lit(0), F.lit(SEQ_LEN - 1)),
-                       lambda i: F.struct(F.get(seq, i).alias("value"), F.get(mask, i).alias("mask")))
+    return F.array(*[F.struct(F.get(seq, F.lit(i)).alias("value"), F.get(mask, F.lit(i)).alias("mask"))
+                     for i in range(SEQ_LEN)])
 
 
 def sequence_null_mask(spark, sf_dir):
@@ -130,14 +130,13 @@ def assemble_long(spark, sf_dir):
 def stacked_long(spark, sf_dir):
     df = sequenced(spark, sf_dir)
     steps, masks = stack_sequences(ORDER_FEATURES, SEQ_LEN)
-    n_feat = len(ORDER_FEATURES)
-    cells = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.lit(SEQ_LEN - 1)),
-        lambda i: F.transform(
-            F.sequence(F.lit(0), F.lit(n_feat - 1)),
-            lambda j: F.struct((i + 1).alias("step"), (j + 1).alias("feature_index"),
-                               F.get(F.get(F.col("__s"), i), j).alias("value"),
-                               F.get(F.get(F.col("__m"), i), j).alias("mask")))))
+    s, m = F.col("__s"), F.col("__m")
+    cells = F.array(*[
+        F.struct(F.lit(i + 1).alias("step"), F.lit(j + 1).alias("feature_index"),
+                 F.get(F.get(s, F.lit(i)), F.lit(j)).alias("value"),
+                 F.get(F.get(m, F.lit(i)), F.lit(j)).alias("mask"))
+        for i in range(SEQ_LEN) for j in range(len(ORDER_FEATURES))
+    ])
     return df.select(KEY, steps.alias("__s"), masks.alias("__m")).select(KEY, F.inline(cells))
 
 
