@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lagoon.operators.prefix import ordered_prefix
+from lagoon.session import materialize
 
 DEFAULT_HOT_ROWS = 2_000_000
 DEFAULT_BUCKET_ROWS = 500_000
@@ -103,11 +104,14 @@ def _bucketed(df: DataFrame, entity: str, ordinal: Column, hot: DataFrame, n_hot
     )
 
     # Slot -> bucket: rows in earlier slots of the same entity, in units of bucket_rows.
-    per_slot = tagged.where(F.col(_HOT)).groupBy(entity, _SLOT).agg(F.count(F.lit(1)).alias("__c"))
+    # The slot counts take one pass over the input; every later step reads the
+    # small materialized tables.
+    per_slot = materialize(
+        tagged.where(F.col(_HOT)).groupBy(entity, _SLOT).agg(F.count(F.lit(1)).alias("__c")))
     before = ordered_prefix(per_slot, _SLOT, {"__before": F.col("__c")}, group_cols=[entity],
                             inclusive=False)
-    mapping = before.select(entity, _SLOT,
-                            F.floor(F.col("__before") / F.lit(int(bucket_rows))).cast("long").alias(_B))
+    mapping = materialize(before.select(
+        entity, _SLOT, F.floor(F.col("__before") / F.lit(int(bucket_rows))).cast("long").alias(_B)))
     if mapping.count() <= broadcast_limit:
         out = tagged.join(F.broadcast(mapping), on=[entity, _SLOT], how="left")
     else:
@@ -149,7 +153,8 @@ def lookback(
         return plain
 
     # Hot-entity detection: one aggregate over two columns (partial + final).
-    hot = (
+    # Materialized once: the count, the broadcast and the slot pass all read it.
+    hot = materialize(
         df.groupBy(entity)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(ordinal).alias("__lo"), F.max(ordinal).alias("__hi"))
         .where(F.col("__n") > F.lit(int(hot_rows)))

@@ -11,7 +11,8 @@ task.  ``ordered_prefix`` produces the same numbers with bounded tasks.
 3. Running sum of those totals per group gives each range its offset.  This
    is a window over the small table.
 4. Running sum inside each (group, range), plus the offset of its range.
-   The offset table is counted before it is broadcast.
+   The offset table is materialized once (reliable checkpoint), then counted
+   before it is broadcast, so the input is not re-read for it.
 
 Exact whenever ``order_col`` is unique inside a group (the callers
 aggregate ties first or order by a key).
@@ -25,6 +26,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagoon.session import materialize
+
 _R = "__range"
 BROADCAST_LIMIT = 1_000_000
 
@@ -64,9 +67,9 @@ def ordered_prefix(df: DataFrame, order_col: str, sums: dict[str, Column],
 
     totals = ranged.groupBy(*groups, _R).agg(*[F.sum(k).alias(f"{k}_tot") for k in values])
     w_off = Window.partitionBy(*groups).orderBy(_R).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*groups, _R, *[
+    offsets = materialize(totals.select(*groups, _R, *[
         F.coalesce(F.sum(f"{k}_tot").over(w_off), F.lit(0.0)).alias(f"{k}_off") for k in values
-    ])
+    ]))
     if offsets.count() <= BROADCAST_LIMIT:
         offsets = F.broadcast(offsets)
 

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -40,13 +40,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared scratch folder; created (local runs only) when unset."""
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared scratch folder; created (local runs only) when unset.
+
+    ``spark.checkpoint.dir`` is read from the session.  It cannot be changed
+    at run time, so when it is absent (tests, a laptop) a local folder is
+    registered as the context's checkpoint directory instead.
+    """
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="lagoon-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -66,3 +68,14 @@ def ensure_parent(path: str) -> None:
     """Create the parent of a local path (remote stores need nothing)."""
     if is_local_path(path):
         os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small intermediate table once and cut its lineage.
+
+    Reliable ``checkpoint`` (files under ``spark.checkpoint.dir``), so a
+    table that is counted, broadcast and joined is not recomputed from the
+    big input at every use, and a lost executor does not lose it.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
