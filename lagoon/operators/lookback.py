@@ -172,7 +172,10 @@ def lookback(
         F.row_number().over(w_bucket).alias(_RN),
         F.count(F.lit(1)).over(w_all).alias(_CNT),
     )
-    is_head = (F.col(_B) > 0) & (F.col(_RN) <= depth)
+    # Both branches below read the same columns (``_HOT`` included, although
+    # bucket > 0 already implies it), so their exchanges are identical and the
+    # input is scanned and shuffled once: AQE reuses the shuffle stage.
+    is_head = F.col(_HOT) & (F.col(_B) > 0) & (F.col(_RN) <= depth)
     is_tail = F.col(_HOT) & (F.col(_RN) > F.col(_CNT) - depth)
     helpers = [_B, _HOT, _RN, _CNT]
 

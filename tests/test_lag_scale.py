@@ -161,3 +161,28 @@ def test_lookback_bursty_hot_entity_exact(spark, limit):
     split = lookback(df, "e", ["ts", "id"], 3, build, hot_rows=50, bucket_rows=40, broadcast_limit=limit)
     assert split.count() == 430
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def _executed_plan(df) -> str:
+    """The final adaptive plan after running ``df`` (without the initial-plan section)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("kind", ["lag", "skip", "mask"])
+def test_hot_path_shuffles_input_once(spark, kind):
+    """Settled rows and re-done heads share one input shuffle (AQE reuses the exchange)."""
+    from lagoon.operators.sequence import Sequencer
+
+    events = events_panel(spark, SF01)
+    if kind == "lag":
+        model = ScaledLag(partition_col="user_id", order_cols=["ts", "event_id"], sequence_feature_cols=["value"],
+                          sequence_length=5, hot_entity_rows=20, bucket_rows=7).fit(events)
+        out = model.transform(events).select("event_id", "value_lag_1")
+    else:
+        model = Sequencer(partition_col="user_id", order_cols=["ts", "event_id"], sequence_features_cols=["value"],
+                          sequence_length=5, null_policy=kind, hot_entity_rows=20, bucket_rows=7).fit(events)
+        out = model.transform(events).select("event_id", "value_sequence")
+    plan = _executed_plan(out)
+    assert "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == 1
