@@ -40,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,15 +154,22 @@ def lookback(
         return plain
 
     # Hot-entity detection: one aggregate over two columns (partial + final).
-    # Materialized once: the count, the broadcast and the slot pass all read it.
-    hot = materialize(
+    # One pass over the input: the small aggregate is cached while it is
+    # counted.  Without hot entities it is dropped at once.  Otherwise it is
+    # checkpointed from the cached blocks, since the broadcast and the slot
+    # pass both read it.
+    detected = (
         df.groupBy(entity)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(ordinal).alias("__lo"), F.max(ordinal).alias("__hi"))
         .where(F.col("__n") > F.lit(int(hot_rows)))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    n_hot = hot.count()
+    n_hot = detected.count()
     if n_hot == 0:
+        detected.unpersist()
         return plain
+    hot = materialize(detected)
+    detected.unpersist()
     tagged = _bucketed(df, entity, ordinal, hot, n_hot, bucket_rows, slots_per_bucket, broadcast_limit)
 
     w_bucket = entity_window([entity, _B], order_cols)
