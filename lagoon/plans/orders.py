@@ -30,7 +30,8 @@ def sequencer(null_policy: str = "skip", **kw) -> Sequencer:
 
 
 def sequenced(spark: SparkSession, sf_dir: str, null_policy: str = "skip", **kw) -> DataFrame:
-    panel = orders_panel(spark, sf_dir)
+    """Order histories without the customer statics (no customer join)."""
+    panel = orders_panel(spark, sf_dir, with_statics=False)
     return sequencer(null_policy, **kw).fit(panel).transform(panel)
 
 
@@ -61,7 +62,7 @@ def inverse_scale(spark, sf_dir):
 
 
 def collapse_mask(spark, sf_dir):
-    panel = orders_panel(spark, sf_dir)
+    panel = orders_panel(spark, sf_dir, with_statics=False)
     lags = ScaledLag(partition_col=ORDERS.entity, order_cols=list(ORDERS.order_cols),
                      sequence_feature_cols=ORDER_FEATURES, sequence_length=SEQ_LEN).fit(panel)
     names = lag_names(ORDER_FEATURES, SEQ_LEN)

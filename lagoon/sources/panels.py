@@ -52,7 +52,7 @@ EVENTS = PanelSpec(
 )
 
 
-def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_panel(spark: SparkSession, sf_dir: str, with_statics: bool = True) -> DataFrame:
     """orders LEFT JOIN per-order line totals LEFT JOIN customer.
 
     Line items are aggregated per order *before* the join (partial hash
@@ -61,6 +61,10 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``n_items``/``sum_qty`` -- real missing values for the sequence paths.
     Join strategy is left to AQE (broadcast only when the runtime size is
     under the threshold; skewed customer partitions are split).
+
+    ``with_statics=False`` leaves out the customer join for callers that only
+    use the sequence features.  Catalyst cannot drop a left join by itself,
+    because it does not know that ``c_custkey`` is unique.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -69,16 +73,15 @@ def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.count(F.lit(1)).alias("n_items"), F.sum("l_quantity").alias("sum_qty"))
     )
+    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    features = ["o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "n_items", "sum_qty"]
+    if not with_statics:
+        return joined.select(*features)
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_acctbal", "c_nationkey",
         yes_no_flag("c_mktsegment", "HOUSEHOLD").alias("is_household"))
-    joined = (
-        orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-        .join(customer, orders.o_custkey == customer.c_custkey, "left")
-    )
-    return joined.select(
-        "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "n_items", "sum_qty",
-        "c_acctbal", "c_nationkey",
+    return joined.join(customer, joined.o_custkey == customer.c_custkey, "left").select(
+        *features, "c_acctbal", "c_nationkey",
         F.coalesce(F.col("is_household"), F.lit(False)).alias("is_household"),
     )
 
