@@ -106,7 +106,7 @@ def history_len(spark, sf_dir):
                  (F.lit(SEQ_LEN) - F.col(f"{f}_history_len")).alias("pad_len"))
         for f in ORDER_FEATURES
     ])
-    return df.select(KEY, valid_length(F.col(f"{first}_mask")).alias("valid_len"), F.inline(rows))
+    return df.select(KEY, valid_length(F.col(f"{first}_mask"), SEQ_LEN).alias("valid_len"), F.inline(rows))
 
 
 def drop_cold_start(spark, sf_dir):
@@ -179,7 +179,7 @@ def train_roundtrip(spark, sf_dir):
     path = write_training_set(featured, spark, "orders-train", shuffle_key=KEY, seed=SEED)
     back = read_training_set(spark, path)
     first = ORDER_FEATURES[0]
-    n = valid_length(F.col(f"{first}_mask"))
+    n = valid_length(F.col(f"{first}_mask"), SEQ_LEN)
     return back.select(
         KEY, ORDERS.entity, n.alias("valid_len"),
         F.when(n > 0, F.element_at(F.col(f"{first}_sequence"), n)).alias("last_scaled"),

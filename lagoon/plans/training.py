@@ -71,7 +71,7 @@ def _model_inputs(scaler, seq_model, df):
     return feats.select(
         KEY, ORDERS.entity,
         steps.alias("steps"),
-        valid_length(F.col(f"{ORDER_FEATURES[0]}_mask")).alias("length"),
+        valid_length(F.col(f"{ORDER_FEATURES[0]}_mask"), SEQ_LEN).alias("length"),
         float_array(STATIC_INPUTS).alias("statics"),
         F.col("o_totalprice_scaled").alias("target"),
     )
