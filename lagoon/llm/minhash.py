@@ -4,15 +4,17 @@
    one *class*, named by a 128-bit digest, so exact copies cost one row.
 2. ``PERMUTATIONS`` minima per class: bands of ``BAND_ROWS`` full minima give
    bucket keys, the low 8 bits of each minimum are packed as the signature.
-3. In every bucket each class meets one pivot.  Pairs pass when the similarity
-   estimated from the signatures, corrected for chance equality of 8-bit
-   values, is near enough to the threshold, and are then confirmed on full
-   sets.  Confirmed links are closed into components.
+3. ``STAR_ROUNDS`` times, every bucket names a pivot and each of its classes in
+   another component estimates its similarity to it from the signatures,
+   corrected for chance equality of 8-bit values.  A class's best pivot that is
+   near enough to the threshold is confirmed on full sets; confirmed links are
+   closed into components.  A round is linear in the bucket rows.
 4. What is still apart inside a bucket is compared block by block (a large
    bucket is cut into blocks of about ``BLOCK``, one task per pair of blocks);
-   only pairs from different components that pass the estimate leave the task.
-   Links inside a component would change nothing, so no link between different
-   texts is lost, and a group of k copies costs about k rows, not k * k.
+   only pairs from different components that pass the estimate leave the task,
+   from the first band they share, and are confirmed on full sets.  Links
+   inside a component would change nothing, so no link between different texts
+   is lost, and a group of k copies costs about k rows, not k * k.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8**4)**32 < 1e-7
 and falls below the estimate margin with about 3e-6.
@@ -42,12 +44,13 @@ PERMUTATIONS, BAND_ROWS, LOW_BITS = 128, 4, 8
 BANDS = PERMUTATIONS // BAND_ROWS
 MARGIN = 0.16
 BLOCK = 256
+STAR_ROUNDS = 3
 _RNG = np.random.default_rng(97)
 _A = _RNG.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _BAND_SALT = tb.mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
 
-_SIGNED = "row_id long, n_shingles long, class binary, signature binary, bands array<long>"
+_SIGNED = "row_id long, n_shingles long, class binary, signature binary, tags binary, bands array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -79,12 +82,13 @@ def _sign(width: int):
         for batch in batches:
             for part in tb.chunks(batch, "text"):
                 data, offsets = tb.utf8(part.column("text"))
-                sizes, classes, packed, bands = [], [], [], []
+                sizes, classes, packed, tags, bands = [], [], [], [], []
                 for s in shingle_sets(data, offsets, width):
                     sizes.append(len(s))
                     if not len(s):
                         classes.append(None)
                         packed.append(None)
+                        tags.append(None)
                         bands.append(None)
                         continue
                     m = _minima(s)
@@ -94,11 +98,12 @@ def _sign(width: int):
                     key = _BAND_SALT.copy()
                     for j in range(BAND_ROWS):
                         key = tb.mix64(key ^ rows[:, j])
+                    tags.append(key.astype(np.uint32).tobytes())
                     bands.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                     pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["row_id", "n_shingles", "class", "signature", "bands"])
+                     pa.array(packed, pa.binary()), pa.array(tags, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["row_id", "n_shingles", "class", "signature", "tags", "bands"])
     return run
 
 
@@ -121,23 +126,28 @@ def estimate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (equal - chance) / (1.0 - chance)
 
 
-def _estimated(least: float):
+def _matrix(column: pa.Array, dtype: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
+
+
+def _to_pivot(least: float):
+    """(class, pivot, estimate) of the rows that are near enough to their bucket's pivot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PERMUTATIONS)
-                        for c in ("sig_a", "sig_b"))
-                keep = pa.array(estimate(a, b) >= least)
-                yield batch.select(["a", "b"]).filter(keep)
+                near = estimate(*(_matrix(batch.column(c), np.uint8, PERMUTATIONS) for c in ("signature", "sig_p")))
+                out = batch.select(["class", "pivot"]).append_column("near", pa.array(near))
+                yield out.filter(pa.array(near >= least))
     return run
 
 
 def _across(least: float, ratio: float):
-    """Pairs of one (bucket, block, block) task that lie in different components and pass the estimate."""
+    """Pairs of one (bucket, band, block, block) task that lie in different components and pass the estimate."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        lo, hi = key[1].as_py(), key[2].as_py()
+        band, lo, hi = (k.as_py() for k in key[1:])
         block = table.column("block").to_numpy()
-        sigs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, PERMUTATIONS)
+        sigs = _matrix(table.column("signature"), np.uint8, PERMUTATIONS)
+        tags = _matrix(table.column("tags"), np.uint32, BANDS)
         size = table.column("n_shingles").to_numpy()
         comp = np.unique(np.array(table.column("comp").to_pylist(), dtype="S16"), return_inverse=True)[1]
         one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
@@ -147,6 +157,7 @@ def _across(least: float, ratio: float):
             js = js[(comp[js] != comp[i]) & (np.minimum(size[js], size[i]) >= ratio * np.maximum(size[js], size[i]))]
             if len(js):
                 js = js[estimate(sigs[js], sigs[i]) >= least]
+                js = js[(tags[js] == tags[i]).argmax(axis=1) == band]
                 found_a.append(np.full(len(js), i))
                 found_b.append(js)
         a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
@@ -156,18 +167,9 @@ def _across(least: float, ratio: float):
     return run
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Distinct unordered pairs."""
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full sets satisfy 100 * |A and B| >= percent * |A or B|."""
-    pairs = stored(pairs)
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    rows = stored(classes.join(wanted, "class", "left_semi").select("row_id"))
-    texts = docs.join(small(rows), "row_id", "left_semi").select("text")
-    sets = stored(texts.mapInArrow(_sets(width), "class binary, members array<long>").dropDuplicates(["class"]))
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets satisfy 100 * |A and B| >= percent * |A or B|."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     both = (pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("set_a")), "a")
             .join(sets.select(F.col("class").alias("b"), F.col("members").alias("set_b")), "b")
             .withColumn("common", F.size(F.array_intersect("set_a", "set_b"))))
@@ -175,6 +177,17 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     return both.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
+def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
+    """The bucket rows with the component of their class; buckets of one component are left out."""
+    if links is None:
+        return shared.withColumn("comp", F.col("class"))
+    label = connect(links).toDF("class", "root")
+    comp = shared.join(label, "class", "left").withColumn("comp", F.coalesce("root", "class")).drop("root")
+    mixed = (comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo <> hi").select("bucket"))
+    return comp.join(mixed, "bucket", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 4, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``."""
@@ -182,38 +195,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = keyed.select("doc_id", F.xxhash64("doc_id", "text").alias("row_id"), "text")
     signed = stored(keyed.select("row_id", "text").mapInArrow(_sign(width), _SIGNED))
     named = signed.dropDuplicates(["row_id"]).select("row_id", "n_shingles", "class")
+    brief = ["class", "n_shingles", "signature", "tags"]
     classes = stored(signed.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("row_id").alias("row_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("signature").alias("signature"), F.first("bands").alias("bands")))
+        F.min("row_id").alias("row_id"), *[F.first(c).alias(c) for c in (*brief[1:], "bands")]))
 
     least, ratio = percent / 100 - MARGIN, percent / 100
-    member = classes.select("class", F.explode("bands").alias("bucket"))
-    buckets = (member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("pivot"))
-               .where("n > 1"))
-    shared = stored(member.join(buckets, "bucket"))
-    brief = classes.select("class", "n_shingles", "signature")
-    star = _ordered(shared.where("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")))
-    signed_pairs = (
-        star.join(brief.toDF("a", "n_a", "sig_a"), "a").join(brief.toDF("b", "n_b", "sig_b"), "b")
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b"))
-    near = signed_pairs.mapInArrow(_estimated(least), "a binary, b binary")
-    links = stored(_confirmed(near, keyed, classes, width, percent))
-
-    label = stored(connect(links))
-    placed = (shared.join(label.toDF("class", "root"), "class", "left")
-              .withColumn("comp", F.coalesce("root", "class")).drop("root"))
-    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("bucket"))
+    member = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
+    sizes = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(member.join(sizes, "bucket").join(classes.select(*brief), "class"))
+    rows = stored(classes.join(shared.select("class").distinct(), "class", "left_semi").select("row_id"))
+    texts = keyed.join(small(rows), "row_id", "left_semi").select("text")
+    sets = stored(texts.mapInArrow(_sets(width), "class binary, members array<long>").dropDuplicates(["class"]))
+
+    links = None
+    for turn in range(STAR_ROUNDS):
+        placed = _placed(shared, links)
+        pivots = placed.groupBy("bucket").agg(F.min(F.struct(
+            F.xxhash64(F.lit(turn), "class").alias("order"), F.col("class").alias("pivot"), F.col("comp").alias("comp_p"),
+            F.col("n_shingles").alias("n_p"), F.col("signature").alias("sig_p"))).alias("p")).select("bucket", "p.*")
+        near = (placed.join(pivots, "bucket").where("comp <> comp_p")
+                .where(100 * F.least("n_shingles", "n_p") >= percent * F.greatest("n_shingles", "n_p"))
+                .select("class", "pivot", "signature", "sig_p")
+                .mapInArrow(_to_pivot(least), "class binary, pivot binary, near double")
+                .groupBy("class").agg(F.max(F.struct("near", "pivot")).alias("best"))
+                .select(F.col("class").alias("a"), F.col("best.pivot").alias("b")))
+        found = _confirmed(near, sets, percent)
+        links = stored(found if links is None else links.union(found))
+
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     spread = (
-        placed.join(mixed, "bucket", "left_semi").join(brief, "class")
-        .withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
+        _placed(shared, links).withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                "block", "class", "comp", "n_shingles", "signature"))
-    rest = spread.groupBy("bucket", "lo", "hi").applyInArrow(_across(least, ratio), "a binary, b binary")
-    more = stored(_confirmed(_ordered(rest), keyed, classes, width, percent))
-    label = stored(connect(links.union(more)))
+        .select("bucket", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                "block", "comp", *brief))
+    rest = spread.groupBy("bucket", "band", "lo", "hi").applyInArrow(_across(least, ratio), "a binary, b binary")
+    label = stored(connect(links.union(_confirmed(rest, sets, percent))))
 
     rows = keyed.select("doc_id", "row_id").join(named, "row_id")
     rows = rows.join(label.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
