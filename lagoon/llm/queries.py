@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagoon.llm import chat, minhash, mixing, quality
+from lagoon.llm import ann, chat, minhash, mixing, quality, toxicity
 from lagoon.llm.tables import stored
 from lagoon.sources.tables import read_table
 
@@ -36,10 +36,18 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(text).cast("long").alias("formatted_chars"), "fingerprint")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op3_quality, op4_chat, op9_minhash)}
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op3_quality, op4_chat, op8_toxicity, op9_minhash, op10_ann)}
 
 ORACLES: dict[str, str] = {}
