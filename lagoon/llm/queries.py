@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagoon.llm import ann, chat, minhash, mixing, quality, toxicity
+from lagoon.llm import ann, chat, licenses, minhash, mixing, pii, quality, toxicity
 from lagoon.llm.tables import stored
 from lagoon.sources.tables import read_table
 
@@ -16,6 +16,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(slim).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return quality.judged(docs, labels).select("doc_id", *quality.FIGURES, "base_failed", "kept", "rejected_by")
@@ -36,6 +40,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(text).cast("long").alias("formatted_chars"), "fingerprint")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -48,6 +56,6 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op3_quality, op4_chat, op8_toxicity, op9_minhash, op10_ann)}
+QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op7_pii, op8_toxicity, op9_minhash, op10_ann)}
 
 ORACLES: dict[str, str] = {}
