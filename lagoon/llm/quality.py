@@ -154,8 +154,15 @@ def apply_rules(figures: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
-def judged(docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum: str = "lang", **settings) -> DataFrame:
+def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``row_key``, a hash of id and text (equal rows are judged alike)."""
+    return docs.withColumn("row_key", F.xxhash64("doc_id", text_col))
+
+
+def judged(docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum: str = "lang", row_key: bool = False,
+           **settings) -> DataFrame:
     """``doc_id``, stratum, figures, ``rejected_by`` and ``kept`` per row of ``docs``; figures are computed once."""
-    names = ["doc_id", stratum, *FIGURES, "base_failed", *GRID]
-    figures = stored(rule_figures(docs.select("doc_id", stratum, text_col), text_col).select(*names))
+    names = ["doc_id", stratum, *FIGURES, "base_failed", *GRID, *(["row_key"] if row_key else [])]
+    read = docs.select("doc_id", stratum, text_col)
+    figures = stored(rule_figures(with_row_key(read, text_col) if row_key else read, text_col).select(*names))
     return apply_rules(figures, certified_cutoffs(figures, labels, stratum, **settings), stratum)

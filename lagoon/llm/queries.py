@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagoon.llm import ann, chat, licenses, minhash, mixing, pii, quality, toxicity
+from lagoon.llm import ann, chat, licenses, minhash, mixing, pieces, pii, quality, toxicity
 from lagoon.llm.tables import stored
 from lagoon.sources.tables import read_table
 
@@ -40,6 +40,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(text).cast("long").alias("formatted_chars"), "fingerprint")
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(read_table(spark, sf_dir, "documents"), digest=True)
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,13 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op7_pii, op8_toxicity, op9_minhash, op10_ann)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op5_pieces, op7_pii, op8_toxicity,
+                                op9_minhash, op10_ann, pipeline)}
 
 ORACLES: dict[str, str] = {}
