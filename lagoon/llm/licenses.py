@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lagoon.llm import textbatch as tb
+
 COVER, CONFIRM, LEAST_SAVING = 0.8, 3, 0.15
 _HINT = re.compile(r"licen[sc]|copyright|all rights reserved|permission is hereby|redistribution and use|public domain|"
                    r"warranty|spdx|creative commons|cc[ -](?:by|0)", re.IGNORECASE)
@@ -139,6 +141,7 @@ def _scan(templates: dict[str, str]):
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """``doc_id``, ``findings`` (array), ``licenses`` (distinct confirmed names), ``n_unknown`` per row of ``docs``."""
+    tb.small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "text").mapInArrow(_scan(templates), f"doc_id {kind}, findings {_FOUND}")
     names = F.array_sort(F.array_distinct(F.filter(F.transform("findings", lambda f: f["license"]), lambda n: n.isNotNull())))

@@ -191,6 +191,7 @@ def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = 4, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``."""
+    tb.small_batches(docs.sparkSession)
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keyed = keyed.select("doc_id", F.xxhash64("doc_id", "text").alias("row_id"), "text")
     signed = stored(keyed.select("row_id", "text").mapInArrow(_sign(width), _SIGNED))

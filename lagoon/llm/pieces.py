@@ -39,7 +39,7 @@ from lagoon.llm import textbatch as tb
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG_UNIT = 40
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 17
 NEVER = np.float64(-1e18)
 
 
@@ -310,7 +310,7 @@ def _encoded(model, text_col: str, keep: list[str], digest: bool):
         is_byte = np.zeros(len(p.score), dtype=bool)
         is_byte[p.byte_id] = True
         for batch in batches:
-            for part in tb.chunks(batch, text_col, tb.CHUNK_BYTES // 2):
+            for part in tb.chunks(batch, text_col):
                 data, offsets = tb.utf8(part.column(text_col))
                 tokens, at = encode(p, data, offsets)
                 back, ends = decode(p, tokens, at)
@@ -334,6 +334,7 @@ def _encoded(model, text_col: str, keep: list[str], digest: bool):
 def encoded(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", path: str = MODEL,
             digest: bool = False) -> DataFrame:
     """``keep`` columns, ``n_tokens``, ``n_byte_tokens``, ``round_trip`` and ``token_ids`` (or their ``ids_sha256``)."""
+    tb.small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(load(path))
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     last = "ids_sha256 string" if digest else "token_ids array<int>"

@@ -201,6 +201,7 @@ _SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 def with_spans(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with ``_base`` and ``_terms``: arrays of (kind, start, end)."""
     spark = docs.sparkSession
+    tb.small_batches(spark)
     flagged = stored(disclosing_terms(docs, text_col, **settings).select("term").distinct())
     blocks = max(1, -(-flagged.count() // TERM_BLOCK))
     out = docs

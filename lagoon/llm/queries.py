@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagoon.llm import ann, chat, licenses, minhash, mixing, pieces, pii, quality, toxicity
+from lagoon.llm import ann, chat, licenses, minhash, mixing, pieces, pii, quality, rindex, toxicity
 from lagoon.llm.tables import stored
 from lagoon.sources.tables import read_table
 
@@ -44,6 +44,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(read_table(spark, sf_dir, "documents"), digest=True)
 
 
+def op6_rindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rindex.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(read_table(spark, sf_dir, "documents"))
 
@@ -66,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op5_pieces, op7_pii, op8_toxicity,
+QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op5_pieces, op6_rindex, op7_pii, op8_toxicity,
                                 op9_minhash, op10_ann, pipeline)}
 
 ORACLES: dict[str, str] = {}

@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+BATCH_ROWS = 1000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -55,6 +56,11 @@ def chunks(batch: pa.RecordBatch, text_col: str, limit: int = CHUNK_BYTES) -> It
         start = stop
 
 
+def small_batches(spark) -> None:
+    """Texts go to Python ``BATCH_ROWS`` rows at a time (a session setting read when a plan runs)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
@@ -85,7 +91,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if size <= 8 * CHUNK_BYTES:
+        if size <= 16 * CHUNK_BYTES:
             _POWERS[base] = have
     return have[:n]
 

@@ -263,6 +263,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 def scores(docs: DataFrame, labels: DataFrame, held_fold: int = 2, folds: int = 4) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``; only labels outside the held-out fold are read."""
+    tb.small_batches(docs.sparkSession)
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == held_fold, F.lit(False))
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held)
