@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lagoon.operators.prefix import ordered_prefix
+from lagoon.operators.prefix import join_null_safe, ordered_prefix
 from lagoon.session import materialize
 
 DEFAULT_HOT_ROWS = 2_000_000
@@ -98,7 +98,7 @@ def _bucketed(df: DataFrame, entity: str, ordinal: Column, hot: DataFrame, n_hot
                 F.col("__g") - 1).cast("long"),
     ).otherwise(F.lit(0).cast("long"))
     tagged = (
-        df.join(hot, on=entity, how="left")
+        join_null_safe(df, hot, [entity], "left")
         .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
         .withColumn(_SLOT, slot)
         .drop("__g", "__lo", "__hi")
@@ -114,9 +114,9 @@ def _bucketed(df: DataFrame, entity: str, ordinal: Column, hot: DataFrame, n_hot
     mapping = materialize(before.select(
         entity, _SLOT, F.floor(F.col("__before") / F.lit(int(bucket_rows))).cast("long").alias(_B)))
     if mapping.count() <= broadcast_limit:
-        out = tagged.join(F.broadcast(mapping), on=[entity, _SLOT], how="left")
+        out = join_null_safe(tagged, F.broadcast(mapping), [entity, _SLOT], "left")
     else:
-        hot_rows = tagged.where(F.col(_HOT)).join(mapping, on=[entity, _SLOT], how="inner")
+        hot_rows = join_null_safe(tagged.where(F.col(_HOT)), mapping, [entity, _SLOT])
         cold_rows = tagged.where(~F.col(_HOT)).withColumn(_B, F.lit(None).cast("long"))
         out = hot_rows.unionByName(cold_rows)
     return out.withColumn(_B, F.coalesce(F.col(_B), F.lit(0).cast("long"))).drop(_SLOT)

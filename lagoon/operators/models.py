@@ -19,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
 from lagoon.operators.assemble import vector_assembler
+from lagoon.operators.collapse import FillMissing
 from lagoon.operators.lag import ScaledLag, lag_names
 from lagoon.operators.scaler import ColumnScaler
 
@@ -27,13 +28,15 @@ def gbt_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[st
                    length: int, statics_to_scale: Sequence[str], flags: Sequence[str] = (),
                    max_iter: int = 100, max_depth: int = 5, seed: int = 42,
                    hot_entity_rows: int | None = None) -> Pipeline:
-    """lags (+masks) -> static scaler -> assembler -> GBTRegressor, as one Pipeline."""
+    """lags (+masks) -> static scaler -> missing statics flagged and filled -> assembler -> GBTRegressor, as one Pipeline."""
     lags = lag_names(features, length)
-    inputs = [*lags, *[f"{c}_mask" for c in lags], *[f"{c}_scaled" for c in statics_to_scale], *flags]
+    statics = [*[f"{c}_scaled" for c in statics_to_scale], *flags]
+    inputs = [*lags, *[f"{c}_mask" for c in lags], *statics, *[f"{c}_missing" for c in statics]]
     stages = [
         ScaledLag(partition_col=entity, order_cols=list(order_cols), sequence_feature_cols=list(features),
                   sequence_length=length, hot_entity_rows=hot_entity_rows),
         ColumnScaler(inputCols=list(statics_to_scale)),
+        FillMissing(inputCols=statics),
         vector_assembler(inputs, "features", handle_invalid="keep"),
         GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
                      maxIter=max_iter, maxDepth=max_depth, seed=seed),
@@ -61,6 +64,3 @@ def logistic_scorer(feature_cols: Sequence[str], label: str) -> Pipeline:
                            rawPredictionCol="rawPrediction", probabilityCol="probability"),
     ])
 
-
-def fit_and_score(pipeline: Pipeline, train: DataFrame, score: DataFrame) -> DataFrame:
-    return pipeline.fit(train).transform(score)

@@ -12,7 +12,8 @@ task.  ``ordered_prefix`` produces the same numbers with bounded tasks.
    is a window over the small table.
 4. Running sum inside each (group, range), plus the offset of its range.
    The offset table is materialized once (reliable checkpoint), then counted
-   before it is broadcast, so the input is not re-read for it.
+   before it is broadcast.  The input itself is evaluated three times: for the
+   cut points, for the totals and for the result.
 
 Exact whenever ``order_col`` is unique inside a group (the callers
 aggregate ties first or order by a key).
@@ -20,6 +21,7 @@ aggregate ties first or order by a key).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -37,13 +39,23 @@ def _cut_points(df: DataFrame, order_col: str, n_ranges: int, rel_error: float)
         return []
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = df.approxQuantile(order_col, probs, rel_error)
-    return sorted({float(c) for c in cuts if c is not None})
+    return sorted({float(c) for c in cuts if c is not None and math.isfinite(c)})
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null equals null; the result has the left side's keys."""
+    named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return left.join(named, same, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def with_range(df: DataFrame, order_col: str, n_ranges: int, rel_error: float = 0.001) -> DataFrame:
     splits = [float("-inf"), *_cut_points(df, order_col, n_ranges, rel_error), float("inf")]
     tmp = "__order_d"
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=_R).transform(
+    if len(splits) == 2:                       # empty input, or one distinct value
+        return df.withColumn(_R, F.lit(0))
+    # NaN gets the range above all others, as Spark sorts it last.
+    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=_R, handleInvalid="keep").transform(
         df.withColumn(tmp, F.col(order_col).cast("double")))
     return bucketed.withColumn(_R, F.col(_R).cast("int")).drop(tmp)
 
@@ -77,7 +89,7 @@ def ordered_prefix(df: DataFrame, order_col: str, sums: dict[str, Column],
     w_in = Window.partitionBy(*groups, _R).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     local = ranged.select("*", *[F.coalesce(F.sum(k).over(w_in), F.lit(0.0)).alias(f"{k}_loc")
                                  for k in values])
-    joined = local.join(offsets, on=[*groups, _R], how="inner")
+    joined = join_null_safe(local, offsets, [*groups, _R])
     return joined.select(
         *df.columns,
         *[(F.col(f"{k}_loc") + F.col(f"{k}_off")).alias(name)

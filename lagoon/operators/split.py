@@ -2,8 +2,9 @@
 
 Every assignment is a pure function of a key: an md5 bucket of
 ``'<seed>|<key>'``.  Splitting needs no ``distinct`` of ids and no semi join
-(a per-row predicate that Catalyst can push into the scan).  The same key
-lands on the same side whatever the partitioning or the executor count.
+(a per-row predicate; the md5 is evaluated after the scan).  The same key
+lands on the same side whatever the partitioning or the executor count.  Rows
+with a null key are training rows, so the two sides hold every row.
 ``randomSplit`` does not have that property, so a validation set found again
 at inference time would differ from the one used in training.
 """
@@ -17,7 +18,7 @@ from lagoon.functions.columns import hash_mod, hash_percent
 
 
 def is_validation(entity: str, validation_percent: int = 10, seed: int = 42) -> Column:
-    return hash_percent(entity, seed) >= F.lit(100 - validation_percent)
+    return F.coalesce(hash_percent(entity, seed) >= F.lit(100 - validation_percent), F.lit(False))
 
 
 def entity_split(df: DataFrame, entity: str, validation_percent: int = 10,
@@ -27,15 +28,10 @@ def entity_split(df: DataFrame, entity: str, validation_percent: int = 10,
     return df.where(~flag), df.where(flag)
 
 
-def keep_entities(df: DataFrame, ids: DataFrame, entity: str) -> DataFrame:
-    """Rows of chosen entities (left semi join; AQE broadcasts a small id list)."""
-    return df.join(ids.select(entity), on=entity, how="left_semi")
-
-
 def row_split(df: DataFrame, key: str, test_percent: int = 20,
               seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Row-level ``(train, test)`` split on a unique row key."""
-    flag = hash_percent(key, seed) >= F.lit(100 - test_percent)
+    flag = F.coalesce(hash_percent(key, seed) >= F.lit(100 - test_percent), F.lit(False))
     return df.where(~flag), df.where(flag)
 
 

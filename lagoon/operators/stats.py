@@ -38,10 +38,9 @@ def validate_stats(stats: FeatureStats) -> FeatureStats:
         mean, std = s.get("mean"), s.get("std")
         if mean is None or std is None:
             raise StatsError(
-                f"Standard deviation for column {c} is undefined (fewer than two non-null rows), "
-                "cannot standardize.")
+                f"{c!r} has fewer than two values, so it has no std to scale by")
         if std == 0:
-            raise StatsError(f"Standard deviation for column {c} is zero, cannot standardize.")
+            raise StatsError(f"{c!r} is constant (std 0): leave it out of the scaled columns")
     return stats
 
 

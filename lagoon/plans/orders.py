@@ -200,7 +200,7 @@ def batch_counts(spark, sf_dir):
 def preview_topk(spark, sf_dir, k: int = 5):
     """First k rows in entity/time order: a TakeOrdered, no global sort."""
     cols = [ORDERS.entity, *ORDERS.order_cols, "o_totalprice"]
-    return orders_panel(spark, sf_dir).select(*cols).orderBy(ORDERS.entity, *ORDERS.order_cols).limit(k)
+    return orders_panel(spark, sf_dir, with_statics=False).select(*cols).orderBy(ORDERS.entity, *ORDERS.order_cols).limit(k)
 
 
 QUERIES = {

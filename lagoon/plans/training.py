@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lagoon.functions.arrays import float_array, valid_length
 from lagoon.operators import seqnet
 from lagoon.operators.assemble import stack_sequences
+from lagoon.operators.collapse import FillMissing
 from lagoon.operators.lag import lag_names
 from lagoon.operators.metrics import regression_metrics
 from lagoon.operators.models import gbt_forecaster, grouped_cross_validator, logistic_scorer
@@ -51,7 +52,9 @@ def gbt_cv(spark, sf_dir):
 def logit_scores(spark, sf_dir):
     """P(event is an error) from the user's recent values; 80/20 row split."""
     events = events_panel(spark, sf_dir)
-    lagged = lag_stage().fit(events).transform(events).withColumn(
+    # The lags of a test row may reach into training rows, the statistics may not see test rows.
+    known, _ = row_split(events, EVENTS.row_key, 20, SEED)
+    lagged = lag_stage().fit(known).transform(events).withColumn(
         "label", (F.col("event_type") == "error").cast("double"))
     lags = lag_names(EVENT_FEATURES, SEQ_LEN)
     train, test = row_split(lagged, EVENTS.row_key, 20, SEED)
@@ -62,17 +65,19 @@ def logit_scores(spark, sf_dir):
 
 # ------------------------------------------------------------------ sequence net
 
-SHAPE = seqnet.NetShape(n_features=len(ORDER_FEATURES), n_statics=len(STATIC_INPUTS))
+NET_STATICS = [*STATIC_INPUTS, *[f"{c}_missing" for c in STATIC_INPUTS]]
+SHAPE = seqnet.NetShape(n_features=len(ORDER_FEATURES), n_statics=len(NET_STATICS))
 
 
 def _model_inputs(scaler, seq_model, df):
-    feats = seq_model.transform(scaler.transform(df))
+    feats = FillMissing(inputCols=STATIC_INPUTS).transform(seq_model.transform(scaler.transform(df)))
     steps, _ = stack_sequences(ORDER_FEATURES, SEQ_LEN)
     return feats.select(
         KEY, ORDERS.entity,
         steps.alias("steps"),
-        valid_length(F.col(f"{ORDER_FEATURES[0]}_mask"), SEQ_LEN).alias("length"),
-        float_array(STATIC_INPUTS).alias("statics"),
+        # Slots in use, not values present: the mask policy keeps a slot for a null.
+        F.col(f"{ORDER_FEATURES[0]}_history_len").alias("length"),
+        float_array(NET_STATICS).alias("statics"),
         F.col("o_totalprice_scaled").alias("target"),
     )
 
@@ -80,7 +85,7 @@ def _model_inputs(scaler, seq_model, df):
 def _fit_seqnet(spark, sf_dir, epochs=SEQNET_EPOCHS):
     train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
     scaler = ColumnScaler(inputCols=STATIC_SCALED).fit(train)
-    seq_model = sequencer(null_policy="mask").fit(train)
+    seq_model = sequencer(null_policy="mask", emit_history_len=True).fit(train)
     path = write_training_set(_model_inputs(scaler, seq_model, train), spark, "seqnet-train",
                               shuffle_key=KEY, seed=SEED)
     n_shards = seqnet.shard_count(read_training_set(spark, path).count(), SEQNET_ROWS_PER_SHARD,

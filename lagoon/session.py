@@ -10,8 +10,10 @@ it on the session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lagoon-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
@@ -60,14 +64,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/lagoon/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    """Create the parent of a local path (remote stores need nothing)."""
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions that run in Python workers."""
+    context = spark.sparkContext
+    if getattr(context, "_lagoon_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lagoon-zip-"), "lagoon.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._lagoon_shipped = True
 
 
 def materialize(df: DataFrame) -> DataFrame:

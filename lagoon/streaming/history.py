@@ -5,11 +5,11 @@ cannot run there.  Here each entity keeps its last N values in state
 (``applyInPandasWithState``), which bounds state to N values per entity
 whatever the stream length.  A micro-batch may hand one entity's rows over
 in several chunks; they are gathered and put in entity order before the ring
-advances.  The gathered rows are at most one micro-batch, so the source's
-per-trigger cap (``maxBytesPerTrigger`` / ``maxFilesPerTrigger``, see
-``table_stream``) bounds the biggest group even when one entity holds a
-third of the stream.  Rows older than an earlier micro-batch are out of
-contract (there is no late-data handling).
+advances, so a group is one entity's rows of a micro-batch.  A micro-batch may
+not hold rows before the last one its entity has already emitted: such late
+rows would need histories that are gone, so the run stops with an error that
+names the entity.  A source whose files are not in time order must therefore
+come as one micro-batch, or be sorted first.
 
 Scaling and rounding happen in Spark before the state step (the same
 ``round`` as the batch path).  The pandas step only slides a window over the
@@ -48,6 +48,15 @@ def ring_histories(ring: np.ndarray, values: np.ndarray, length: int):
     return seqs, masks, full[-length:]
 
 
+def _sortable(value) -> str:
+    """A text that sorts like the order value (timestamps, numbers, strings)."""
+    if isinstance(value, (int, np.integer)):
+        return f"{int(value) + 10**20:021d}"
+    if isinstance(value, (float, np.floating)):
+        return f"{int(float(value) * 10**6) + 10**30:031d}"
+    return f"{pd.Timestamp(value).value + 10**20:021d}" if hasattr(value, "year") else str(value)
+
+
 def stream_histories(df: DataFrame, entity: str, order_cols: Sequence[str], key: str, feature: str,
                      mean: float, std: float, length: int) -> DataFrame:
     """``(key, {feature}_sequence, {feature}_mask)`` for each streamed row."""
@@ -57,14 +66,18 @@ def stream_histories(df: DataFrame, entity: str, order_cols: Sequence[str], key:
         T.StructField(f"{feature}_sequence", T.ArrayType(T.FloatType())),
         T.StructField(f"{feature}_mask", T.ArrayType(T.IntegerType())),
     ])
-    state_schema = T.StructType([T.StructField("ring", T.ArrayType(T.DoubleType()))])
+    state_schema = T.StructType([T.StructField("ring", T.ArrayType(T.DoubleType())),
+                                 T.StructField("last", T.ArrayType(T.StringType()))])
 
     def advance(_key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(chunks), ignore_index=True).sort_values(order_cols, kind="mergesort")
         ring = np.array(state.get[0] if state.exists else [], dtype=np.float64)
+        last = [_sortable(rows[c].iloc[-1]) for c in order_cols]
+        if state.exists and [_sortable(rows[c].iloc[0]) for c in order_cols] < list(state.get[1]):
+            raise ValueError(f"late rows for entity {_key[0]!r}: a micro-batch starts before the rows already emitted")
         values = rows[_Z].to_numpy(dtype=np.float64, na_value=np.nan)
         seqs, masks, ring = ring_histories(ring, values, length)
-        state.update(([None if np.isnan(v) else float(v) for v in ring],))
+        state.update(([None if np.isnan(v) else float(v) for v in ring], last))
         yield pd.DataFrame({key: rows[key].to_numpy(dtype=np.int64),
                             f"{feature}_sequence": list(seqs), f"{feature}_mask": list(masks)})
 

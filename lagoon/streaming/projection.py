@@ -13,7 +13,7 @@ from lagoon.session import scratch_path
 
 def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None,
                  max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over one Parquet table of a directory, with its declared schema.
+    """A file stream over one Parquet table (a file or a folder of part files), with its declared schema.
 
     The schema comes from the table's own footer, so nothing is inferred
     while the stream runs.  ``max_files_per_trigger`` or
@@ -22,13 +22,13 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_tri
     A file is never split between micro-batches.
     """
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     elif max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-    return reader.parquet(sf_dir)
+    # A pattern: the file source takes a plain path for a folder, a pattern may match a file or a folder.
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def with_parity(df: DataFrame, col: str = "value", out: str = "is_even") -> DataFrame:
@@ -36,20 +36,26 @@ def with_parity(df: DataFrame, col: str = "value", out: str = "is_even") -> Data
     return df.withColumn(out, (F.col(col) % 2) == 0)
 
 
-def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, timeout_s: float = 600,
+def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None,
                    processing_time: str | None = None) -> str:
     """Run a streaming DataFrame into a Parquet sink (append) and return the sink path.
 
     With no ``processing_time`` the trigger is ``availableNow``: every
-    pending input is processed and the query stops by itself.  Sink and
-    checkpoint both live below the shared scratch folder.
+    pending input is processed and the query stops by itself.  With a
+    ``processing_time`` trigger the query is stopped once the input that was
+    there has been processed.  Without ``timeout_s`` (availableNow only) there is
+    no limit on the run.  Sink and checkpoint live below the shared scratch folder.
     """
     sink = scratch_path(spark, f"{name}-sink")
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     query = writer.start(sink)
-    query.awaitTermination(timeout_s)
+    if processing_time:
+        query.processAllAvailable()
+        query.stop()
+        return sink
+    query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if query.isActive:
         query.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")

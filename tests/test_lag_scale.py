@@ -82,7 +82,7 @@ def test_scaler_and_inverse(spark):
     out = m.transform(df).select("x", m.inverse(F.col("x_scaled"), "x").alias("back")).collect()
     assert all(r["back"] == pytest.approx(r["x"]) for r in out)
     with pytest.raises(ValueError, match="nope"):
-        m.get_params("nope")
+        m.column_stats("nope")
 
 
 def test_stats_one_pass_matches_pandas(spark):
@@ -97,7 +97,7 @@ def test_lag_equals_sequence_element(spark):
     """lag i is element (h - i) of the unpadded history when no value is null."""
     events = events_panel(spark, SF01)
     lags = lag_stage().fit(events)
-    stats = lags.get_params("value")
+    stats = lags.column_stats("value")
     seq = SequencerModel(partition_col="user_id", order_cols=["ts", "event_id"],
                          sequence_features_cols=["value"], sequence_length=5,
                          feature_stats={"value": stats}, emit_history_len=True)

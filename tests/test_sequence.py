@@ -83,9 +83,9 @@ def test_fit_then_transform_scales(spark):
     df = frame(spark, [("a", 1, 1.0), ("a", 2, 3.0)])
     fitted = Sequencer(partition_col="e", order_cols=["t"], sequence_features_cols=["x"],
                        sequence_length=2).fit(df)
-    assert fitted.get_params("x")["mean"] == pytest.approx(2.0)
+    assert fitted.column_stats("x")["mean"] == pytest.approx(2.0)
     out = by_t(fitted.transform(df))
-    assert out[2][0][0] == pytest.approx(round((1.0 - 2.0) / fitted.get_params("x")["std"], 4), rel=1e-6)
+    assert out[2][0][0] == pytest.approx(round((1.0 - 2.0) / fitted.column_stats("x")["std"], 4), rel=1e-6)
 
 
 def test_properties_on_orders(spark):
