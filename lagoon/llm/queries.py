@@ -37,7 +37,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(
         "conv_id", F.size("_turns").cast("long").alias("n_turns"), F.sha2(said_again, 256).alias("turns_sha256"),
         F.char_length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
-        F.char_length(text).cast("long").alias("formatted_chars"), "fingerprint")
+        F.char_length(text).cast("long").alias("formatted_chars"))
 
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +73,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op5_pieces, op6_rindex, op7_pii, op8_toxicity,
                                 op9_minhash, op10_ann, pipeline)}
 
-ORACLES: dict[str, str] = {}
+_TURNS = r"""WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(role) + length(text) + 13 + length(text) - length(replace(text, '\', ''))
+    + 2 * len(regexp_extract_all(text, '<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]'))) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+#: Only what SQL can express; the others are tested against brute force in tests/llm.
+ORACLES: dict[str, str] = {"op4_chat": _TURNS}
