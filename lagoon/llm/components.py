@@ -29,6 +29,17 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
+def drawn_in(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), ``a > b``, of the same components after one round: most nodes of a shallow one hang on its smallest."""
+    edges = stored(edges.where("a <> b").distinct())
+    return stored(_small_star(_large_star(edges)))
+
+
+def lowest_known(edges: DataFrame) -> DataFrame:
+    """(a, b): per node its smallest neighbour, a name that only nodes of its component can have."""
+    return edges.groupBy("a").agg(F.min("b").alias("b"))
+
+
 def connect(edges: DataFrame) -> DataFrame:
     """(a, b) per linked node ``a`` that is not its component's smallest node ``b``.
 

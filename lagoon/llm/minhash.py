@@ -4,17 +4,21 @@
    one *class*, named by a 128-bit digest, so exact copies cost one row.
 2. ``PERMUTATIONS`` minima per class: bands of ``BAND_ROWS`` full minima give
    bucket keys, the low 8 bits of each minimum are packed as the signature.
-3. ``STAR_ROUNDS`` times, every bucket names a pivot and each of its classes in
-   another component estimates its similarity to it from the signatures,
-   corrected for chance equality of 8-bit values.  A class's best pivot that is
-   near enough to the threshold is confirmed on full sets; confirmed links are
-   closed into components.  A round is linear in the bucket rows.
-4. What is still apart inside a bucket is compared block by block (a large
-   bucket is cut into blocks of about ``BLOCK``, one task per pair of blocks);
-   only pairs from different components that pass the estimate leave the task,
-   from the first band they share, and are confirmed on full sets.  Links
-   inside a component would change nothing, so no link between different texts
-   is lost, and a group of k copies costs about k rows, not k * k.
+3. A star round names a pivot in every bucket and estimates the similarity of
+   each class in another component to it from the signatures, corrected for
+   chance equality of 8-bit values.  A class's best pivot that is near enough to
+   the threshold is confirmed on full sets; confirmed links are closed into
+   components (after the first round only drawn together).  The first round reads ``FIRST_BANDS`` bands; ``STAR_ROUNDS`` more
+   read those buckets of all bands that still hold two components, and
+   take the pivot from the bucket's largest one.  Only (bucket, class) is shuffled
+   by bucket, and signatures once per (class, pivot).
+4. What is still apart inside a bucket is compared block by block: the classes
+   outside the bucket's largest component with all its classes (a large bucket is
+   cut into blocks of about ``BLOCK``, one task per pair of blocks); only pairs
+   from different components that pass the estimate leave the task, from the
+   first band they share, and are confirmed on full sets.  All links are closed
+   into components at the end.  Links inside a component would change nothing, so no link between different texts is lost,
+   and a group of k copies costs about k rows, not k * k.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8**4)**32 < 1e-7
 and falls below the estimate margin with about 3e-6.
@@ -37,20 +41,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lagoon.llm import textbatch as tb
-from lagoon.llm.components import connect
+from lagoon.llm.components import connect, drawn_in, lowest_known
 from lagoon.llm.tables import small, stored
 
 PERMUTATIONS, BAND_ROWS, LOW_BITS = 128, 4, 8
 BANDS = PERMUTATIONS // BAND_ROWS
 MARGIN = 0.16
 BLOCK = 256
-STAR_ROUNDS = 3
+FIRST_BANDS, STAR_ROUNDS = 8, 1
 _RNG = np.random.default_rng(97)
 _A = _RNG.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _BAND_SALT = tb.mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
 
-_SIGNED = "row_id long, n_shingles long, class binary, signature binary, tags binary, bands array<long>"
+_SIGNED = "row_id long, n_shingles long, class binary, signature binary, bands array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -82,13 +86,12 @@ def _sign(width: int):
         for batch in batches:
             for part in tb.chunks(batch, "text"):
                 data, offsets = tb.utf8(part.column("text"))
-                sizes, classes, packed, tags, bands = [], [], [], [], []
+                sizes, classes, packed, bands = [], [], [], []
                 for s in shingle_sets(data, offsets, width):
                     sizes.append(len(s))
                     if not len(s):
                         classes.append(None)
                         packed.append(None)
-                        tags.append(None)
                         bands.append(None)
                         continue
                     m = _minima(s)
@@ -98,12 +101,11 @@ def _sign(width: int):
                     key = _BAND_SALT.copy()
                     for j in range(BAND_ROWS):
                         key = tb.mix64(key ^ rows[:, j])
-                    tags.append(key.astype(np.uint32).tobytes())
                     bands.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                     pa.array(packed, pa.binary()), pa.array(tags, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["row_id", "n_shingles", "class", "signature", "tags", "bands"])
+                     pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["row_id", "n_shingles", "class", "signature", "bands"])
     return run
 
 
@@ -147,7 +149,7 @@ def _across(least: float, ratio: float):
         band, lo, hi = (k.as_py() for k in key[1:])
         block = table.column("block").to_numpy()
         sigs = _matrix(table.column("signature"), np.uint8, PERMUTATIONS)
-        tags = _matrix(table.column("tags"), np.uint32, BANDS)
+        tags = table.column("tags").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         size = table.column("n_shingles").to_numpy()
         comp = np.unique(np.array(table.column("comp").to_pylist(), dtype="S16"), return_inverse=True)[1]
         one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
@@ -167,6 +169,16 @@ def _across(least: float, ratio: float):
     return run
 
 
+def _sets_of(keyed: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """``class, members``: the full sets of the wanted classes, made again from one text of each.
+
+    Not stored: the shuffle that drops repeated rows is the one that joins on the class need.
+    """
+    rows = stored(classes.select("class", "row_id").join(wanted.distinct(), "class", "left_semi").select("row_id"))
+    texts = keyed.join(small(rows), "row_id", "left_semi").select("text")
+    return texts.mapInArrow(_sets(width), "class binary, members array<long>").dropDuplicates(["class"])
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets satisfy 100 * |A and B| >= percent * |A or B|."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -177,15 +189,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
-def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The bucket rows with the component of their class; buckets of one component are left out."""
-    if links is None:
-        return shared.withColumn("comp", F.col("class"))
-    label = connect(links).toDF("class", "root")
-    comp = shared.join(label, "class", "left").withColumn("comp", F.coalesce("root", "class")).drop("root")
-    mixed = (comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("bucket"))
-    return comp.join(mixed, "bucket", "left_semi")
+def _placed(member: DataFrame, label: DataFrame) -> DataFrame:
+    """``member`` with the component of each class."""
+    return member.join(label.toDF("class", "root"), "class", "left").withColumn("comp", F.coalesce("root", "class")).drop("root")
+
+
+def _tops(placed: DataFrame, turn: int) -> DataFrame:
+    """Per bucket of several components: the largest one, a pivot of it, and the rows inside and outside of it."""
+    pivot = F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("order"), F.col("class").alias("pivot")))
+    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), pivot.alias("p"))
+    tops = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp", "p.pivot")).alias("top"), F.sum("n").alias("total"),
+                                       F.count("*").alias("comps")).where("comps > 1")
+    return tops.select("bucket", F.col("top.comp").alias("comp_p"), "top.pivot", F.col("top.n").alias("n_top"),
+                       (F.col("total") - F.col("top.n")).alias("n_apart"))
+
+
+def _nearest_pivot(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class of ``pairs`` and its best pivot, if the estimate is near enough."""
+    left = classes.select("class", "n_shingles", "signature")
+    right = left.toDF("pivot", "n_p", "sig_p")
+    both = (pairs.distinct().join(left, "class").join(right, "pivot")
+            .where(100 * F.least("n_shingles", "n_p") >= percent * F.greatest("n_shingles", "n_p")))
+    near = both.select("class", "pivot", "signature", "sig_p").mapInArrow(
+        _to_pivot(percent / 100 - MARGIN), "class binary, pivot binary, near double")
+    best = near.groupBy("class").agg(F.max(F.struct("near", "pivot")).alias("best"))
+    return best.select(F.col("class").alias("a"), F.col("best.pivot").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,41 +224,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = keyed.select("doc_id", F.xxhash64("doc_id", "text").alias("row_id"), "text")
     signed = stored(keyed.select("row_id", "text").mapInArrow(_sign(width), _SIGNED))
     named = signed.dropDuplicates(["row_id"]).select("row_id", "n_shingles", "class")
-    brief = ["class", "n_shingles", "signature", "tags"]
     classes = stored(signed.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("row_id").alias("row_id"), *[F.first(c).alias(c) for c in (*brief[1:], "bands")]))
+        F.min("row_id").alias("row_id"), *[F.first(c).alias(c) for c in ("n_shingles", "signature", "bands")]))
 
-    least, ratio = percent / 100 - MARGIN, percent / 100
-    member = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
-    sizes = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(member.join(sizes, "bucket").join(classes.select(*brief), "class"))
-    rows = stored(classes.join(shared.select("class").distinct(), "class", "left_semi").select("row_id"))
-    texts = keyed.join(small(rows), "row_id", "left_semi").select("text")
-    sets = stored(texts.mapInArrow(_sets(width), "class binary, members array<long>").dropDuplicates(["class"]))
+    # First round: a few bands of all classes, so that large groups are one component before all bands are read.
+    some = classes.select("class", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("bucket"))
+    pivots = some.groupBy("bucket").agg(F.min("class").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = some.join(pivots, "bucket").where("class <> pivot").select("class", "pivot")
+    near = stored(_nearest_pivot(pairs, classes, percent))
 
-    links = None
+    member = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
+    sets = _sets_of(keyed, classes, near.select(F.col("a").alias("class")).union(near.select("b")), width)
+    links = drawn_in(_confirmed(near, sets, percent))
+
+    # Only buckets that still hold several components go on.
+    code = F.xxhash64("comp")
+    mixed = (_placed(classes.select("class", "bands"), lowest_known(links)).select(F.explode("bands").alias("bucket"), code.alias("code"))
+             .groupBy("bucket").agg(F.min("code").alias("lo"), F.max("code").alias("hi")).where("lo <> hi").select("bucket"))
+    shared = stored(member.join(mixed, "bucket", "left_semi"))
+    sets = _sets_of(keyed, classes, shared.select("class"), width)
     for turn in range(STAR_ROUNDS):
-        placed = _placed(shared, links)
-        pivots = placed.groupBy("bucket").agg(F.min(F.struct(
-            F.xxhash64(F.lit(turn), "class").alias("order"), F.col("class").alias("pivot"), F.col("comp").alias("comp_p"),
-            F.col("n_shingles").alias("n_p"), F.col("signature").alias("sig_p"))).alias("p")).select("bucket", "p.*")
-        near = (placed.join(pivots, "bucket").where("comp <> comp_p")
-                .where(100 * F.least("n_shingles", "n_p") >= percent * F.greatest("n_shingles", "n_p"))
-                .select("class", "pivot", "signature", "sig_p")
-                .mapInArrow(_to_pivot(least), "class binary, pivot binary, near double")
-                .groupBy("class").agg(F.max(F.struct("near", "pivot")).alias("best"))
-                .select(F.col("class").alias("a"), F.col("best.pivot").alias("b")))
-        found = _confirmed(near, sets, percent)
-        links = stored(found if links is None else links.union(found))
-
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        placed = _placed(shared, lowest_known(links))
+        tops = _tops(placed, turn).select("bucket", "comp_p", "pivot")
+        pairs = placed.join(tops, "bucket").where("comp <> comp_p").select("class", "pivot")
+        links = connect(links.union(_confirmed(_nearest_pivot(pairs, classes, percent), sets, percent)))
+
+    least, ratio = percent / 100 - MARGIN, percent / 100
+    placed = _placed(shared, lowest_known(links))
+    cut = placed.join(_tops(placed, STAR_ROUNDS), "bucket")
+    whole = F.col("n_top") + F.col("n_apart") <= BLOCK            # one block, compared with itself
+    inside, key = F.col("comp") == F.col("comp_p"), F.xxhash64("class")
+    n_in, n_out = F.ceil(F.col("n_top") / BLOCK).cast("int"), F.ceil(F.col("n_apart") / BLOCK).cast("int")
+    block = F.when(whole, 0).when(inside, F.pmod(key, n_in)).otherwise(n_in + F.pmod(key, n_out)).cast("int")
+    others = F.when(whole, F.array(F.lit(0))).otherwise(F.sequence(F.when(inside, n_in).otherwise(0), n_in + n_out - 1))
+    brief = classes.select("class", "n_shingles", "signature", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("tags"))
     spread = (
-        _placed(shared, links).withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        cut.select("bucket", "band", "class", "comp", block.alias("block"), others.alias("others")).join(brief, "class")
+        .withColumn("other", F.explode("others"))
         .select("bucket", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                "block", "comp", *brief))
+                "block", "comp", *brief.columns))
     rest = spread.groupBy("bucket", "band", "lo", "hi").applyInArrow(_across(least, ratio), "a binary, b binary")
-    label = stored(connect(links.union(_confirmed(rest, sets, percent))))
+    label = connect(links.union(_confirmed(rest, sets, percent)))
 
     rows = keyed.select("doc_id", "row_id").join(named, "row_id")
     rows = rows.join(label.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
