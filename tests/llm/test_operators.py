@@ -249,6 +249,28 @@ def test_licenses(docs, empty, spark):
     assert licenses.scan(empty).count() == 0
 
 
+def test_wrapped_and_neighbouring_licenses_are_all_found():
+    def found(text):
+        return [(f["license"], f["missing"], f["extra"]) for f in licenses.Scanner(licenses.TEMPLATES).scan(text)]
+
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+           "documentation files (the \"Software\"), to deal\nin the Software without restriction, including")
+    bsd = ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that "
+           "the following conditions\n# are met:")
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public "
+           "License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version.")
+    for text, name in ((mit, "MIT-text"), (bsd, "BSD-text"), (gpl.format("", 3), "GPL-3.0-notice"), (gpl.format("", 2), "GPL-2.0-notice"),
+                       (gpl.format("Lesser ", 3), "LGPL-3.0-notice"), (gpl.format("Affero ", "3.0"), "AGPL-3.0-notice")):
+        assert found(text) == found("plain words before " * 400 + text + " and after" * 400) == [(name, [], [])]
+    two = "Licensed under CC BY-SA 4.0.\nReleased under the MIT License.\nAll rights reserved.\n\nsome license of our own\n"
+    assert [f[0] for f in found(two)] == ["CC-BY-SA-4.0", "MIT", "All-rights-reserved", None]
+    assert [f[0] for f in found("\n".join(sorted(licenses.TEMPLATES.values())))] == [
+        n for n, _ in sorted(licenses.TEMPLATES.items(), key=lambda x: x[1])]
+    for other in ("Released under the Foo License.", "Licensed under CC BY 3.0.", "Licensed under CC BY-NC-ND 4.0.",
+                  "This work is licensed under the GNU General Public License, version 2.1."):
+        assert [f[0] for f in found(other)] == [None]
+
+
 def test_toxicity_learns_misspells_and_quotes(spark):
     rng = np.random.default_rng(7)
     words = [a + b for a in ("ta", "mo", "ri", "lu", "ke") for b in ("nor", "sil", "dap", "vem", "gor")]
