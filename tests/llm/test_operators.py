@@ -77,6 +77,27 @@ def test_repeated_bytes_equal_brute_force(docs, empty):
     assert rindex.deduplicated(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows, hot_contexts", [(3, 10**9), (10**9, 3), (3, 3), (0, 0)])
+def test_hot_anchors_are_dealt_out_and_stay_exact(spark, monkeypatch, hot_rows, hot_contexts):
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"shared{i}" for i in range(30))
+    texts = [f"{rng.integers(10**9)} {'abc'[i % 3]}{passage}{'xyz'[i % 3]} {rng.integers(10**9)}" for i in range(60)]
+    texts += ["ab" * 300, "ab" * 40, "x" + "ab" * 300, passage * 3, None]
+    docs = spark.createDataFrame([(i // 2 if i < 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+
+    def stretches(found):
+        return {r.doc_id: {b for s, e in r.found for b in range(s, e)} for r in found.collect()}
+
+    def no_index(*_):
+        raise AssertionError("an anchor above the limit was indexed in one task")
+
+    want = stretches(rindex.repeats(docs, 10**9, 10**9))
+    if not hot_contexts:
+        monkeypatch.setattr(rindex, "covered_windows", no_index)
+    got = stretches(rindex.repeats(docs, hot_rows, hot_contexts, 1))
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+
+
 def test_run_index_finds_all_occurrences():
     rng = np.random.default_rng(3)
     for _ in range(60):
