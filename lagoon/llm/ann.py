@@ -10,7 +10,8 @@
    squared margins of the splits it crossed, until ``PROBE`` times the leaves of
    one tree were taken.
 4. Vectors and queries meet per block of neighbouring leaves.  Each leaf's
-   candidates are ranked by exact double-precision inner product; a task sends
+   candidates are ranked by exact double-precision inner product (all that the
+   rounding of a matrix product leaves in question are summed again in component order); a task sends
    its ``k`` best per query, and these partial lists are merged per query.
 
 Recall depends on ``PROBE`` (the README has measured figures); scores are exact.
@@ -36,6 +37,8 @@ from lagoon.llm.tables import stored
 
 TREES, SAMPLE, LEAF, PROBE = 8, 50_000, 64, 1.25
 BLOCK_ROWS = 4096
+#: More than the relative rounding error of one addition or product in double precision.
+SLACK = 2.0 ** -51
 
 
 class Tree:
@@ -179,13 +182,18 @@ def _rank(k: int):
         inside = (flat >= 0) & (flat < width)
         open_leaves[owner[inside], flat[inside]] = True
         who, hits = asked.column("query").to_numpy(), []
+        double = vectors.astype(np.float64)
+        lengths = np.linalg.norm(double, axis=1)
         for start in range(0, len(queries), 256):
             some = queries[start:start + 256]
-            rough = np.where(open_leaves[start:start + 256][:, leaf - low], some @ vectors.T, -np.inf)
-            take = min(2 * k + 8, rough.shape[1])
-            best = np.argpartition(-rough, take - 1, axis=1)[:, :take]
+            opened = open_leaves[start:start + 256][:, leaf - low]
+            rough = np.where(opened, some.astype(np.float64) @ double.T, -np.inf)
+            take = min(k + 1, rough.shape[1])
+            last = -np.partition(-rough, take - 1, axis=1)[:, take - 1]
             for r in range(len(some)):
-                at = best[r][np.isfinite(rough[r, best[r]])]
+                # Both sums of a product are off by at most ``slack``, whatever their order.
+                slack = SLACK * some.shape[1] * lengths * np.linalg.norm(some[r].astype(np.float64))
+                at = np.flatnonzero(opened[r] & (rough[r] + 2 * slack >= last[r] - 2 * slack.max()))
                 score = inner_products(np.repeat(some[r:r + 1], len(at), axis=0), vectors[at])
                 order = np.lexsort((names[at], -score))[:k + 1]
                 hits.append([{"far": -float(score[o]), "class": int(names[at[o]])} for o in order])

@@ -6,6 +6,7 @@ import re
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -338,6 +339,21 @@ def test_neighbours_recall_and_exact_scores(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_nearly_equal_candidates_are_ranked_exactly():
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=32).astype(np.float32)
+    near = np.repeat(base[None], 3000, axis=0)
+    near[np.arange(3000), rng.integers(0, 32, 3000)] *= (1 + rng.integers(-3, 4, 3000) * 2.0 ** -23).astype(np.float32)
+    k, names = 5, rng.permutation(3000)
+    kind = pa.list_(pa.float32())
+    table = pa.table({"class": names, "vector": pa.array(near.tolist(), kind), "leaf": rng.integers(0, 4, 3000)})
+    asked = pa.table({"query": [7], "vector": pa.array([base.tolist()], kind), "leaves": pa.array([[0, 1, 3]], pa.list_(pa.int64()))})
+    score = ann.inner_products(np.repeat(base[None], 3000, axis=0), near)
+    opened = np.flatnonzero(table.column("leaf").to_numpy() != 2)
+    want = [int(names[i]) for i in sorted(opened, key=lambda i: (-score[i], names[i]))[:k + 1]]
+    assert [h["class"] for h in ann._rank(k)(table, asked).column("hits").to_pylist()[0]] == want
+
+
 def test_pipeline_stages_keep_columns_and_survive_empty_tables(spark, docs, empty, tmp_dir):
     import corpus_pipeline
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
