@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lagoon.llm import ann, chat, licenses, minhash, mixing, pieces, pii, quality, rindex, toxicity
+from lagoon.llm import ann, chat, hardneg, licenses, minhash, mixing, packing, phrases, pieces, pii, quality, rindex, toxicity
 from lagoon.llm.tables import stored
 from lagoon.sources.tables import read_table
 
@@ -64,6 +64,22 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(read_table(spark, sf_dir, "documents"))
+    return packing.packed(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hardneg.whole_vectors(rows.select("vec_id", moved.alias("label"), "embedding"))
+    return hardneg.mined(hardneg.build_index(vectors))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix, op2_license, op3_quality, op4_chat, op5_pieces, op6_rindex, op7_pii, op8_toxicity,
-                                op9_minhash, op10_ann, pipeline)}
+                                op9_minhash, op10_ann, op11_packing, op12_hardneg, op13_phrases, pipeline)}
 
 _TURNS = r"""WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -85,5 +101,55 @@ SELECT conv_id, count(*) AS n_turns,
     + 2 * len(regexp_extract_all(text, '<\||<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]'))) AS BIGINT) AS formatted_chars
 FROM said GROUP BY conv_id"""
 
+_NEGATIVES = r"""WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_dot_product(CAST(a.vec AS DOUBLE[]), CAST(b.vec AS DOUBLE[])) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.vec) = len(b.vec) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3"""
+
+_PHRASES = r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?
+
+]')) AS piece FROM documents)),
+starts AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces),
+counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts CROSS JOIN (VALUES (1), (2), (3), (4), (5)) v(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counts WHERE f >= 100),
+longer AS (
+  SELECT lang, phrase, max(f) AS most FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:k - 1], ' '), array_to_string(string_split(phrase, ' ')[2:k], ' ')]) AS phrase
+    FROM frequent WHERE k > 2) GROUP BY ALL),
+kept AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a FROM frequent c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase
+  WHERE c.k > 1 AND (g.most IS NULL OR 100 * g.most < 100 * c.f)),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head, array_to_string(string_split(phrase, ' ')[cut + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM kept)),
+priced AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, n,
+    CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = head JOIN frequent y ON y.lang = c.lang AND y.phrase = tail
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM priced QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score FROM best
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000"""
+
 #: Only what SQL can express; the others are tested against brute force in tests/llm.
-ORACLES: dict[str, str] = {"op4_chat": _TURNS}
+ORACLES: dict[str, str] = {"op4_chat": _TURNS, "op12_hardneg": _NEGATIVES, "op13_phrases": _PHRASES}
