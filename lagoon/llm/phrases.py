@@ -6,12 +6,14 @@ A phrase is frequent if it occurs at least ``min_count`` times in its language.
   level with a lowered threshold; what is frequent there is the proposal ``S``.
 * **Full pass.** Over all texts every word is counted, and every phrase whose first part
   (all but the last word) and rest (all but the first) are both in ``S``.  These are
-  exactly the phrases of ``S`` and its negative border, the phrases just outside it.
-* **Expansion.** If border phrases turn out frequent (failures), a further pass counts every
-  phrase not counted so far whose shorter parts are all frequent or not counted either.
-  Whatever frequent phrase is still missing holds a failure and passes this test, so one
-  such pass closes the set: all frequent phrases are known with exact counts, whatever
-  the sample was.
+  exactly the phrases of ``S`` and its negative border, the phrases just outside it.  Border
+  phrases, nearly all rare, are summed under a hash of ``HASH_BITS`` bits: a sum below
+  ``min_count`` proves every phrase under it infrequent, the others are failures.
+* **Expansion.** If words or border phrases fail, a further pass counts the border phrases with
+  failed hashes, and every phrase not counted so far whose shorter parts are all frequent,
+  failures or not counted either.  Whatever frequent phrase is still missing holds a failure
+  and passes this test, so one such pass closes the set: all frequent phrases are known
+  with exact counts, whatever the sample was.
 
 Tasks get ``S`` as a bitmap of ``FILTER_BITS`` hashed positions, so what is broadcast has a
 fixed size.  A false hit only means that a phrase is counted that need not be; a crowded
@@ -37,12 +39,14 @@ from pyspark.sql import functions as F
 
 from lagoon.llm import textbatch as tb
 from lagoon.llm.tables import stored
+from lagoon.session import scratch_path
 
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-SAMPLE_EVERY = 8
+SAMPLE_EVERY = 16
 FILTER_BITS = 1 << 26
+HASH_BITS = 40
 _BUCKET = 32_768  # bits of one piece of a bitmap, as Spark's bitmap functions have it
 _SALTS = 64
 
@@ -50,6 +54,7 @@ _KIND = np.zeros(256, np.uint8)  # 0 word, 1 blank, 2 mark that ends a piece
 _KIND[[9, 32]] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 _SPACE = pa.scalar(" ", pa.large_string())
+_LINE = pa.scalar("\n", pa.large_string())
 _STEP = np.uint64(0x9DDFEA08EB382D69)
 
 
@@ -79,7 +84,11 @@ class Words:
         langs = part.column("lang").dictionary_encode()
         n_langs = max(1, len(langs.dictionary))
         both = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n_langs + langs.indices.to_numpy(zero_copy_only=False)[doc]
-        known, self.code, self.count = np.unique(both, return_inverse=True, return_counts=True)
+        known, code, count = np.unique(both, return_inverse=True, return_counts=True)
+        turn = np.argsort(pc.binary_length(words.dictionary).to_numpy(zero_copy_only=False)[known // n_langs], kind="stable")  # codes rise with length
+        place = np.empty(len(turn), np.int64)
+        place[turn] = np.arange(len(turn))
+        known, self.code, self.count = known[turn], place[code], count[turn]
         self.text = words.dictionary.take(pa.array(known // n_langs))
         self.lang = langs.dictionary.take(pa.array(known % n_langs))
         self.hash = _hashes(self.lang, self.text)
@@ -102,18 +111,24 @@ def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def _counted(words: Words, known: np.ndarray, before: np.ndarray | None, closing: bool) -> Iterator[pa.RecordBatch]:
-    """``lang, words, phrase, f`` of one chunk: phrases with both parts in ``known``, unless both are in ``before``.
+def _counted(words: Words, known: np.ndarray, before: np.ndarray | None, hot: np.ndarray | None, hashed: bool) -> Iterator[pa.RecordBatch]:
+    """``key, h, f`` of one chunk: phrases with both parts in ``known``, unless both are in ``before``.
 
-    With ``closing``, a phrase that ``before`` did not count stands for a possible part of longer ones.
+    A key is a language, a line end and a phrase; without ``before`` there are the words and, as
+    empty phrases, the number of words of a language.  With ``hashed``, phrases outside ``known``
+    have a hash for a key.  With ``hot``, phrases that were counted by such a hash are counted
+    if the hash is hot, and these and all that ``before`` did not count may be parts of longer ones.
     """
-    def batch(k: int, lang: pa.Array, text: pa.Array, f: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([lang.cast(pa.string()), pa.array(np.full(len(f), k, np.int32)), text.cast(pa.string()), pa.array(f, pa.int64())],
-                                          names=["lang", "words", "phrase", "f"])
+    def batch(lang: pa.Array, text: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+        keys = pc.binary_join_element_wise(lang.cast(pa.large_string()), text, _LINE)
+        return pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.nulls(len(f), pa.int64()), pa.array(f, pa.int64())], names=["key", "h", "f"])
 
     code, piece = words.code, words.piece
     if before is None:
-        yield batch(1, words.lang, words.text, words.count)
+        yield batch(words.lang, words.text, words.count)
+        langs = words.lang.dictionary_encode()
+        n = np.bincount(langs.indices.to_numpy(), weights=words.count, minlength=len(langs.dictionary)).astype(np.int64)
+        yield batch(langs.dictionary, pa.array([""] * len(n), pa.large_string()), n)
     own = words.hash[code]
     # Of the phrases of k - 1 words that start at each word: hash, whether known now and before, a code of the chunk.
     hashes, inside = own, _has(known, words.hash)[code]
@@ -125,18 +140,22 @@ def _counted(words: Words, known: np.ndarray, before: np.ndarray | None, closing
             return
         at = np.flatnonzero(inside[:n] & inside[1:n + 1] & (piece[:n] == piece[k - 1:]))
         key = (codes[at] << 32) | code[at + k - 1]
+        h = _joined(hashes[at], own[at + k - 1])
         seen = old[at] & old[at + 1]
-        new, f = np.unique(key[~seen], return_counts=True)
+        hit = _has(known, h)
+        was = seen & _has(before, h) if before is not None else seen
+        count = ~seen
+        if hashed:
+            count = hit
+            sums, f = np.unique(h[~hit] >> np.uint64(64 - HASH_BITS), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(f), pa.string()), pa.array(sums.astype(np.int64)), pa.array(f, pa.int64())], names=["key", "h", "f"])
+        elif hot is not None:
+            count = ~seen | (~was & _has(hot, h >> np.uint64(64 - HASH_BITS)))
+            hit = np.where(was, hit, count)
+        new, f = np.unique(key[count], return_counts=True)
         if len(new):
             head, tail = pa.array(new >> 32), pa.array(new & 0xFFFFFFFF)
-            yield batch(k, words.lang.take(tail), pc.binary_join_element_wise(text.take(head), words.text.take(tail), _SPACE), f)
-        if k == LONGEST:
-            return
-        h = _joined(hashes[at], own[at + k - 1])
-        hit = _has(known, h)
-        if closing:
-            hit |= ~seen
-        was = seen & _has(before, h) if before is not None else np.zeros(len(at), dtype=bool)
+            yield batch(words.lang.take(tail), pc.binary_join_element_wise(text.take(head), words.text.take(tail), _SPACE), f)
         at, h, was, key = at[hit], h[hit], was[hit], key[hit]
         hashes, inside, old = np.zeros(len(code), np.uint64), np.zeros(len(code), dtype=bool), np.zeros(len(code), dtype=bool)
         hashes[at], inside[at], old[at] = h, True, was
@@ -146,12 +165,12 @@ def _counted(words: Words, known: np.ndarray, before: np.ndarray | None, closing
         text = pc.binary_join_element_wise(text.take(pa.array(unique >> 32)), words.text.take(pa.array(unique & 0xFFFFFFFF)), _SPACE)
 
 
-def _pass(known, before, closing: bool):
+def _pass(known, before, hot, hashed: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = [np.frombuffer(b.value, np.uint8) if b is not None else None for b in (known, before)]
+        bitmaps = [np.frombuffer(b.value, np.uint8) if b is not None else None for b in (known, before, hot)]
         for whole in batches:
-            for part in tb.chunks(whole, "text", 16 * tb.CHUNK_BYTES):
-                yield from _counted(Words(part), *bitmaps, closing)
+            for part in tb.chunks(whole, "text", 4 * tb.CHUNK_BYTES):
+                yield from _counted(Words(part), *bitmaps, hashed)
     return run
 
 
@@ -177,21 +196,29 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bitmap(phrases: DataFrame) -> bytes:
     """The bitmap of a table of phrases: at most ``FILTER_BITS`` bits, whatever the table's size."""
-    out = bytearray(FILTER_BITS // 8)
-    pieces = phrases.select("lang", "phrase").mapInArrow(_places, "bucket long, place long").groupBy("bucket").agg(
-        F.expr("bitmap_construct_agg(place)").alias("bits"))
+    return _bits(phrases.select("lang", "phrase").mapInArrow(_places, "bucket long, place long"))
+
+
+def _hot_bitmap(hashes: DataFrame) -> bytes:
+    at = F.pmod("h", F.lit(FILTER_BITS))
+    return _bits(hashes.select(F.floor(at / _BUCKET).alias("bucket"), (at % _BUCKET).alias("place")))
+
+
+def _bits(places: DataFrame) -> bytes:
+    out, size = bytearray(FILTER_BITS // 8), _BUCKET // 8
+    pieces = places.groupBy("bucket").agg(F.expr("bitmap_construct_agg(place)").alias("bits"))
     for r in pieces.collect():  # at most FILTER_BITS / _BUCKET pieces
-        size = _BUCKET // 8
         out[r["bucket"] * size:(r["bucket"] + 1) * size] = r["bits"]
     return bytes(out)
 
 
-def _counts(texts: DataFrame, known, before=None, closing: bool = False) -> DataFrame:
-    return texts.mapInArrow(_pass(known, before, closing), "lang string, words int, phrase string, f long")
-
-
-def _summed(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+def _counts(texts: DataFrame, threshold: int, known, before=None, hot=None, hashed: bool = False) -> DataFrame:
+    """``lang, words, phrase, h, f`` of what a pass counts and finds often enough; languages under an empty phrase."""
+    sums = texts.mapInArrow(_pass(known, before, hot, hashed), "key string, h long, f long").groupBy("key", "h").agg(F.sum("f").alias("f"))
+    phrase = F.substring_index("key", "\n", -1)
+    return sums.where((F.col("f") >= threshold) | F.col("key").endswith("\n")).select(
+        F.expr("substring(key, 1, char_length(key) - char_length(substring_index(key, '\\n', -1)) - 1)").alias("lang"),
+        F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("words"), phrase.alias("phrase"), "h", "f")
 
 
 def proposed(sample: DataFrame, threshold: int) -> DataFrame:
@@ -200,7 +227,7 @@ def proposed(sample: DataFrame, threshold: int) -> DataFrame:
     share = spark.sparkContext.broadcast
     known, before, levels = share(bytes(FILTER_BITS // 8)), None, []
     for _ in range(LONGEST):
-        found = stored(_summed(_counts(sample, known, before)).where(F.col("f") >= threshold))
+        found = stored(_counts(sample, threshold, known, before).where("words > 0").drop("h"))
         levels.append(found)
         before, known = known, share(_union(known.value, bitmap(found)))
     return stored(functools.reduce(DataFrame.unionByName, levels))
@@ -210,15 +237,14 @@ def verified(texts: DataFrame, proposal: DataFrame, threshold: int) -> tuple[Dat
     """All phrases that occur ``threshold`` times in ``texts`` (``lang, text``), and the words per language."""
     share = texts.sparkSession.sparkContext.broadcast
     before = share(bitmap(proposal))
-    # Rows without a phrase carry the languages' word counts through the same pass.
-    found = stored(_with_totals(_counts(texts, before)).where((F.col("f") >= threshold) | F.col("phrase").isNull()))
-    totals = found.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
-    frequent = found.where("phrase IS NOT NULL")
-    # A phrase of LONGEST words is no part of others, so its failure needs no pass.
-    failures = frequent.where(F.col("words") < LONGEST).join(proposal.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    if failures.limit(1).count():
-        more = _summed(_counts(texts, share(bitmap(frequent)), before, closing=True)).where(F.col("f") >= threshold)
-        frequent = stored(frequent.unionByName(more))
+    found = stored(_counts(texts, threshold, before, hashed=True))
+    totals = found.where("words = 0").select("lang", F.col("f").alias("n"))
+    frequent = found.where("words > 0").drop("h")
+    hot = found.where("h IS NOT NULL")
+    failures = frequent.where("words = 1").join(proposal.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+    if hot.limit(1).count() or failures.limit(1).count():
+        more = _counts(texts, threshold, share(bitmap(frequent)), before, share(_hot_bitmap(hot)))
+        frequent = stored(frequent.unionByName(more.drop("h")))
     return frequent, totals
 
 
@@ -226,17 +252,13 @@ def _union(a: bytes, b: bytes) -> bytes:
     return (np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes()
 
 
-def _with_totals(counted: DataFrame) -> DataFrame:
-    """Counts per phrase and, under a null phrase, the words per language."""
-    both = F.array(F.struct(F.col("words"), F.col("phrase")), F.struct(F.lit(0).alias("words"), F.lit(None).cast("string").alias("phrase")))
-    key = F.when(F.col("words") == 1, both).otherwise(F.slice(both, 1, 1))
-    return counted.select("lang", F.explode(key).alias("k"), "f").groupBy("lang", "k.words", "k.phrase").agg(F.sum("f").alias("f"))
-
-
 def sample_threshold(min_count: int, every: int) -> int:
-    """Two standard deviations below the expected count of a phrase that just reaches ``min_count``."""
+    """A standard deviation below the expected count of a phrase that just reaches ``min_count``.
+
+    Lower would propose more, and with it make a wider border to count; what is missed is found as a failure.
+    """
     mean = min_count / every
-    return max(1, math.floor(mean - 2 * math.sqrt(mean)))
+    return max(1, math.ceil(mean - math.sqrt(mean)))
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample_every: int = SAMPLE_EVERY) -> tuple[DataFrame, DataFrame]:
@@ -244,7 +266,9 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, sample_every:
     tb.small_batches(docs.sparkSession)
     said = (F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     drawn = F.pmod(F.xxhash64(F.lit(13), "doc_id", "text"), F.lit(sample_every)) == 0
-    sample, texts = stored(docs.where(drawn).select(*said)), docs.select(*said)
+    path = scratch_path(docs.sparkSession, "phrases-sample")
+    docs.where(drawn).select(*said).write.parquet(path)
+    sample, texts = docs.sparkSession.read.parquet(path), docs.select(*said)
     return verified(texts, proposed(sample, sample_threshold(min_count, sample_every)), min_count)
 
 
@@ -256,6 +280,12 @@ def _cut(k: Column) -> list[Column]:
     return [F.array_join(F.slice(words, F.lit(1), k), " "), F.array_join(F.slice(words, k + 1, F.size(words) - k), " ")]
 
 
+def exact_score() -> Column:
+    """floor(1000 a n / (l r)) of columns ``a, n, l, r``, in decimals of 38 digits."""
+    return F.expr("CAST((CAST(1000 AS DECIMAL(4,0)) * (CAST(a AS DECIMAL(17,0)) * CAST(n AS DECIMAL(17,0))))"
+                  " DIV (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0))) AS BIGINT)")
+
+
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, sample_every: int = SAMPLE_EVERY) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases.
 
@@ -275,9 +305,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, sa
     left = frequent.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = frequent.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     priced = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(F.broadcast(totals), "lang")
-    score = F.expr("CAST((CAST(1000 AS DECIMAL(4,0)) * (CAST(a AS DECIMAL(17,0)) * CAST(n AS DECIMAL(17,0))))"
-                   " DIV (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0))) AS BIGINT)")
-    best = (priced.withColumn("score", score).groupBy("lang", "phrase", "a", "n")
+    best = (priced.withColumn("score", exact_score()).groupBy("lang", "phrase", "a", "n")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
             .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"))
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
