@@ -8,7 +8,7 @@ from lagoon.functions.arrays import explode_arrays
 from lagoon.operators.stats import fit_column_stats
 from lagoon.plans.common import SEQ_LEN
 from lagoon.sources.panels import EVENTS, events_panel
-from lagoon.streaming.history import stream_histories
+from lagoon.streaming.history import bucket_width, run_histories
 from lagoon.streaming.projection import run_to_parquet, table_stream, with_parity
 
 KEY = EVENTS.row_key
@@ -27,12 +27,10 @@ def stream_is_even(spark, sf_dir):
 def stream_sequence(spark, sf_dir):
     """Stateful histories of ``value`` per user on a stream; same output as the batch sequencer."""
     stats = fit_column_stats(events_panel(spark, sf_dir), ["value"])["value"]
-    # Part files need not be in time order, so all that is there is one micro-batch;
-    # a later one with earlier rows is refused by the state step.
-    stream = table_stream(spark, sf_dir, "events")
-    hist = stream_histories(stream, EVENTS.entity, EVENTS.order_cols, KEY, "value",
-                            stats["mean"], stats["std"], SEQ_LEN)
-    sink = run_to_parquet(hist, spark, "events-history")
+    # Part files need not be in time order, so all that is there is one micro-batch: no row is late.
+    width = bucket_width(events_panel(spark, sf_dir), EVENTS.entity, EVENTS.order_cols[0])
+    sink = run_histories(spark, table_stream(spark, sf_dir, "events"), EVENTS.entity, EVENTS.order_cols[0], KEY, "value",
+                         stats["mean"], stats["std"], SEQ_LEN, "1 hour", width, "events-history")
     back = spark.read.parquet(sink)
     return explode_arrays(back, [KEY], {"value": "value_sequence"}, "feature", "value").select(
         KEY, "feature", "pos", F.col("value"))

@@ -37,20 +37,30 @@ def with_parity(df: DataFrame, col: str = "value", out: str = "is_even") -> Data
 
 
 def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, timeout_s: float | None = None,
-                   processing_time: str | None = None) -> str:
+                   processing_time: str | None = None, sink: str | None = None, checkpoint: str | None = None,
+                   conf: dict[str, str] | None = None, progress: list | None = None) -> str:
     """Run a streaming DataFrame into a Parquet sink (append) and return the sink path.
 
     With no ``processing_time`` the trigger is ``availableNow``: every
     pending input is processed and the query stops by itself.  With a
     ``processing_time`` trigger the query is stopped once the input that was
     there has been processed.  Without ``timeout_s`` (availableNow only) there is
-    no limit on the run.  Sink and checkpoint live below the shared scratch folder.
+    no limit on the run.  Sink and checkpoint live below the shared scratch folder
+    unless they are given.  ``conf`` holds while the query starts; ``progress`` gets the
+    progress of its micro-batches.
     """
-    sink = scratch_path(spark, f"{name}-sink")
+    sink = sink or scratch_path(spark, f"{name}-sink")
     writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")))
+              .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-ckpt")))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    query = writer.start(sink)
+    before = {k: spark.conf.get(k, None) for k in conf or {}}
+    try:
+        for k, v in (conf or {}).items():
+            spark.conf.set(k, v)
+        query = writer.start(sink)          # a query keeps the settings it starts with
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     if processing_time:
         query.processAllAvailable()
         query.stop()
@@ -61,6 +71,8 @@ def run_to_parquet(df: DataFrame, spark: SparkSession, name: str, timeout_s: flo
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if query.exception():
         raise query.exception()
+    if progress is not None:
+        progress.extend(query.recentProgress)
     return sink
 
 

@@ -13,7 +13,7 @@ from lagoon.operators import seqnet
 from lagoon.sources.csv import HOUSEHOLD_SCHEMA, NullValuesError, read_csv_panel
 from lagoon.sources.panels import events_panel
 from lagoon.sources.training_sets import read_shards, write_training_set
-from lagoon.streaming.history import ring_histories, stream_histories
+from lagoon.streaming.history import ring_histories, run_histories
 from lagoon.streaming.projection import run_to_parquet, run_until_batch, table_stream
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -95,9 +95,8 @@ def test_stream_equals_batch_over_several_batches(spark, tmp_dir):
     stats = fit_column_stats(events, ["value"])
     schema = events.schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
-    hist = stream_histories(stream, "user_id", ["ts", "event_id"], "event_id", "value",
-                            stats["value"]["mean"], stats["value"]["std"], 5)
-    got = spark.read.parquet(run_to_parquet(hist, spark, "t-hist"))
+    got = spark.read.parquet(run_histories(spark, stream, "user_id", "ts", "event_id", "value", stats["value"]["mean"],
+                                           stats["value"]["std"], 5, "1 hour", 12 * 3_600_000_000))
     batch = SequencerModel(partition_col="user_id", order_cols=["ts", "event_id"], sequence_features_cols=["value"],
                            sequence_length=5, feature_stats=stats).transform(events)
     a = batch.select("event_id", "value_sequence", "value_mask")

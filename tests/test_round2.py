@@ -12,7 +12,6 @@ from lagoon.operators.collapse import FillMissing
 from lagoon.operators.lag import ScaledLag
 from lagoon.operators.metrics import auc_by_rank
 from lagoon.operators.split import entity_split
-from lagoon.streaming.history import stream_histories
 from lagoon.streaming.projection import run_to_parquet, table_stream, with_parity
 
 SF001 = "/root/testdata/sf0.001"
@@ -73,28 +72,6 @@ def test_stream_reads_a_folder_of_part_files(spark, tmp_dir):
     assert spark.read.parquet(again).count() == 100
 
 
-def _events(folder, parts):
-    os.makedirs(f"{folder}/events.parquet")
-    for i, part in enumerate(parts):
-        path = f"{folder}/events.parquet/part-{i}.parquet"
-        pd.DataFrame(part, columns=["u", "t", "id", "x"]).to_parquet(path)
-        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
-
-
-def test_stream_histories_with_files_out_of_order(spark, tmp_dir):
-    rows = [(i % 3, i, i, float(i)) for i in range(60)]
-    _events(tmp_dir, [rows[40:], rows[:20], rows[20:40]])
-    late = stream_histories(table_stream(spark, tmp_dir, "events", max_files_per_trigger=1), "u", ["t", "id"], "id",
-                            "x", 0.0, 1.0, 3)
-    with pytest.raises(Exception, match="late rows"):
-        run_to_parquet(late, spark, "late")
-    whole = stream_histories(table_stream(spark, tmp_dir, "events"), "u", ["t", "id"], "id", "x", 0.0, 1.0, 3)
-    got = {r.id: (r.x_sequence, r.x_mask) for r in spark.read.parquet(run_to_parquet(whole, spark, "whole")).collect()}
-    for i in range(60):
-        past = [float(j) for j in range(i - 9, i, 3) if j >= 0]
-        assert got[i] == (past + [0.0] * (3 - len(past)), [1] * len(past) + [0] * (3 - len(past)))
-
-
 def test_lags_do_not_leave_helper_columns(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(5)], "k string, t long, x double")
     out = ScaledLag(partition_col="k", order_cols=["t"], sequence_feature_cols=["x"], sequence_length=2,
