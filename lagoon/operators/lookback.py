@@ -7,119 +7,44 @@ goes to a single task, and Spark's adaptive execution does not split window
 partitions.  When one entity may hold a third of all rows, that task is the
 whole job.
 
-``lookback`` keeps the plain plan unless an entity is hot (more than
-``hot_rows`` rows).  Hot entities are cut into contiguous buckets of about
-``bucket_rows`` rows, and the window runs per (entity, bucket).  This is
-exact for every row whose N predecessors are in its own bucket.  Only the
-first N rows of each later bucket ("heads") miss context.  They are
-recomputed in a second, small window over heads plus the last N rows of
-every bucket ("tails").  In entity order, the rows just before a head in that
-reduced set are exactly its true N predecessors.  Every true predecessor is a
-head of the same bucket or a tail of an earlier one, including buckets with
-fewer than N rows.  The reduced set holds at most ``2 N`` rows per bucket, so
-the second pass stays small even when one entity holds a third of the data.
-
-Buckets follow row counts, not clock time, so a hot entity whose rows come
-in bursts still gets even buckets.  Its time range is cut into
-``slots_per_bucket`` fine slots per target bucket.  Rows are counted per
-(entity, slot), which is a partial aggregate.  A slot starts a new bucket
-every ``bucket_rows`` rows of running count.  That running count is a
-distributed prefix sum, so no single task holds the slot table of a hot
-entity.  The mapping is monotone in time, so buckets stay contiguous.  A
-single slot holding more than ``bucket_rows`` rows (many rows at nearly the
-same instant) stays one bucket.
-
-The hot-entity table is bounded by ``rows / hot_rows``, and the slot table
-by ``slots_per_bucket * rows / bucket_rows``.  Both are counted before they
-are broadcast.  Above ``broadcast_limit`` a shuffle join with AQE skew
-splitting is used instead; in that case only the hot rows take the extra
-shuffle.
+``lookback`` keeps the plain plan while no entity has more than ``hot_rows`` rows.
+Otherwise all rows are cut into stored ranges of about ``bucket_rows`` rows by
+(entity, order columns), see ``range_parts``, and the window runs per (entity, range).
+There is no list of hot entities and no slot of time: a range simply ends where it is
+full, inside one day or one instant as well, and for order columns of any type.
+
+This is exact for every row whose N predecessors are in its own range.  An entity
+that runs on into further ranges gets its last N rows of each range handed to the next:
+the first N rows of each later range ("heads") are recomputed in a second, small window
+over heads plus the last N rows of every range ("tails").  In entity order, the rows
+just before a head in that reduced set are exactly its true N predecessors: each of
+them is a head of the same range or a tail of an earlier one, including ranges with
+fewer than N rows of the entity.  The reduced set holds at most ``2 N`` rows per range.
+
+Entities that run over several ranges are fewer than the ranges.  Their table is
+counted before it is broadcast; above ``broadcast_limit`` the join is left to Spark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lagoon.operators.prefix import join_null_safe, ordered_prefix
+from lagoon.operators.prefix import join_null_safe
+from lagoon.operators.ranges import PART, PART_ROWS, range_parts
 from lagoon.session import materialize
 
 DEFAULT_HOT_ROWS = 2_000_000
-DEFAULT_BUCKET_ROWS = 500_000
+DEFAULT_BUCKET_ROWS = PART_ROWS
 DEFAULT_BROADCAST_LIMIT = 200_000
-DEFAULT_SLOTS_PER_BUCKET = 16
 
-_B = "__lb_bucket"
-_HOT = "__lb_hot"
+_FIRST = "__lb_first"
+_LAST = "__lb_last"
 _RN = "__lb_rn"
 _CNT = "__lb_cnt"
 _HEAD = "__lb_head"
-_SLOT = "__lb_slot"
-
-
-def _ordinal(df: DataFrame, col: str) -> Column | None:
-    """A numeric expression non-decreasing in ``col`` (None when the type has none)."""
-    dtype = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    return None
-
-
-def _bucketed(df: DataFrame, entity: str, ordinal: Column, hot: DataFrame, n_hot: int,
-              bucket_rows: int, slots_per_bucket: int, broadcast_limit: int) -> DataFrame:
-    """``df`` plus ``_HOT`` (bool) and ``_B`` (bucket id, 0 for every other entity).
-
-    ``hot`` holds ``entity, __n, __lo, __hi`` for the hot entities.
-    """
-    hot = hot.select(
-        entity,
-        (F.greatest(F.ceil(F.col("__n") / F.lit(int(bucket_rows))), F.lit(1))
-         * F.lit(int(slots_per_bucket))).alias("__g"),
-        "__lo", "__hi",
-        F.lit(True).alias(_HOT),
-    )
-    if n_hot <= broadcast_limit:
-        hot = F.broadcast(hot)
-    span = (F.col("__hi") - F.col("__lo")).cast("double") + F.lit(1.0)
-    slot = F.when(
-        F.col(_HOT) & ordinal.isNotNull(),          # nulls sort first: slot 0
-        F.least(F.floor((ordinal - F.col("__lo")).cast("double") / span * F.col("__g")),
-                F.col("__g") - 1).cast("long"),
-    ).otherwise(F.lit(0).cast("long"))
-    tagged = (
-        join_null_safe(df, hot, [entity], "left")
-        .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
-        .withColumn(_SLOT, slot)
-        .drop("__g", "__lo", "__hi")
-    )
-
-    # Slot -> bucket: rows in earlier slots of the same entity, in units of bucket_rows.
-    # The slot counts take one pass over the input; every later step reads the
-    # small materialized tables.
-    per_slot = materialize(
-        tagged.where(F.col(_HOT)).groupBy(entity, _SLOT).agg(F.count(F.lit(1)).alias("__c")))
-    before = ordered_prefix(per_slot, _SLOT, {"__before": F.col("__c")}, group_cols=[entity],
-                            inclusive=False)
-    mapping = materialize(before.select(
-        entity, _SLOT, F.floor(F.col("__before") / F.lit(int(bucket_rows))).cast("long").alias(_B)))
-    if mapping.count() <= broadcast_limit:
-        out = join_null_safe(tagged, F.broadcast(mapping), [entity, _SLOT], "left")
-    else:
-        hot_rows = join_null_safe(tagged.where(F.col(_HOT)), mapping, [entity, _SLOT])
-        cold_rows = tagged.where(~F.col(_HOT)).withColumn(_B, F.lit(None).cast("long"))
-        out = hot_rows.unionByName(cold_rows)
-    return out.withColumn(_B, F.coalesce(F.col(_B), F.lit(0).cast("long"))).drop(_SLOT)
 
 
 def entity_window(entity: str | Sequence[str], order_cols: Sequence[str]) -> WindowSpec:
@@ -136,56 +61,43 @@ def lookback(
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     bucket_rows: int = DEFAULT_BUCKET_ROWS,
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-    slots_per_bucket: int = DEFAULT_SLOTS_PER_BUCKET,
 ) -> DataFrame:
     """Append ``build(window)`` columns; ``build`` may look back at most ``depth`` rows.
 
     ``build`` receives a window ordered by ``order_cols`` and partitioned by
-    the entity (or by entity and bucket on the hot path) and returns named
+    the entity (or by entity and range when entities are split) and returns named
     columns.  It is called once per pass, so it must be a pure function of
-    the spec.
+    the spec.  ``order_cols`` should be unique inside an entity.
     """
     order_cols = list(order_cols)
     plain = df.select("*", *build(entity_window(entity, order_cols)))
     if not hot_rows or depth <= 0:
         return plain
-    ordinal = _ordinal(df, order_cols[0])
-    if ordinal is None:
+    # One number: the rows of the busiest entity (a partial and final aggregate over one column).
+    busiest = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (busiest or 0) <= hot_rows:
         return plain
 
-    # Hot-entity detection: one aggregate over two columns (partial + final).
-    # One pass over the input: the small aggregate is cached while it is
-    # counted.  Without hot entities it is dropped at once.  Otherwise it is
-    # checkpointed from the cached blocks, since the broadcast and the slot
-    # pass both read it.
-    detected = (
-        df.groupBy(entity)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(ordinal).alias("__lo"), F.max(ordinal).alias("__hi"))
-        .where(F.col("__n") > F.lit(int(hot_rows)))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    n_hot = detected.count()
-    if n_hot == 0:
-        detected.unpersist()
-        return plain
-    hot = materialize(detected)
-    detected.unpersist()
-    tagged = _bucketed(df, entity, ordinal, hot, n_hot, bucket_rows, slots_per_bucket, broadcast_limit)
+    ranged = range_parts(df, [entity, *order_cols], bucket_rows)
+    spans = materialize(ranged.groupBy(entity).agg(F.min(PART).alias(_FIRST), F.max(PART).alias(_LAST))
+                        .where(F.col(_FIRST) < F.col(_LAST)))
+    if spans.count() <= broadcast_limit:
+        spans = F.broadcast(spans)
+    tagged = join_null_safe(ranged, spans, [entity], "left")
 
-    w_bucket = entity_window([entity, _B], order_cols)
-    w_all = Window.partitionBy(entity, _B)
+    w_part = entity_window([entity, PART], order_cols)
     pass1 = tagged.select(
         "*",
-        *build(w_bucket),
-        F.row_number().over(w_bucket).alias(_RN),
-        F.count(F.lit(1)).over(w_all).alias(_CNT),
+        *build(w_part),
+        F.row_number().over(w_part).alias(_RN),
+        F.count(F.lit(1)).over(Window.partitionBy(entity, PART)).alias(_CNT),
     )
-    # Both branches below read the same columns (``_HOT`` included, although
-    # bucket > 0 already implies it), so their exchanges are identical and the
-    # input is scanned and shuffled once: AQE reuses the shuffle stage.
-    is_head = F.col(_HOT) & (F.col(_B) > 0) & (F.col(_RN) <= depth)
-    is_tail = F.col(_HOT) & (F.col(_RN) > F.col(_CNT) - depth)
-    helpers = [_B, _HOT, _RN, _CNT]
+    # Both branches below read the same columns (both ends of a span, although one would do), so their
+    # exchanges are identical and AQE reuses the shuffle.  Entities in one range have no span, so no head.
+    later, earlier = F.col(PART) > F.col(_FIRST), F.col(PART) < F.col(_LAST)
+    is_head = F.coalesce(later & (F.col(PART) <= F.col(_LAST)) & (F.col(_RN) <= depth), F.lit(False))
+    is_tail = F.coalesce(earlier & (F.col(PART) >= F.col(_FIRST)) & (F.col(_RN) > F.col(_CNT) - depth), F.lit(False))
+    helpers = [PART, _FIRST, _LAST, _RN, _CNT]
 
     settled = pass1.where(~is_head).drop(*helpers)
     context = pass1.where(is_head | is_tail).select(*df.columns, is_head.alias(_HEAD))

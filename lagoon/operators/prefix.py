@@ -1,19 +1,16 @@
 """Running sums over a global order without a single-task window.
 
 ``sum(x) OVER (ORDER BY k)`` with no partition key puts every row in one
-task.  ``ordered_prefix`` produces the same numbers with bounded tasks.
-
-1. Cut the order key into ``n_ranges`` contiguous ranges at approximate
-   quantiles (``approxQuantile``: a mergeable sketch, k numbers to the
-   driver), using ``Bucketizer`` (binary search, JVM-side).
-2. Total every (group, range): a partial hash aggregate whose output has
-   ``groups x n_ranges`` rows.
-3. Running sum of those totals per group gives each range its offset.  This
-   is a window over the small table.
-4. Running sum inside each (group, range), plus the offset of its range.
-   The offset table is materialized once (reliable checkpoint), then counted
-   before it is broadcast.  The input itself is evaluated three times: for the
-   cut points, for the totals and for the result.
+task.  ``ordered_prefix`` produces the same numbers with bounded tasks and
+one evaluation of its input:
+
+1. The input is stored once and cut into contiguous ranges of (groups, order
+   column) by ``range_parts``; the number of ranges follows the row count.
+2. Every (group, range) is totalled: a partial hash aggregate with at most one
+   row per group and range.
+3. A running sum of those totals per group gives each range its offset.  It is
+   materialized (reliable checkpoint) and counted before it is broadcast.
+4. A running sum inside each (group, range), plus the offset of its range.
 
 Exact whenever ``order_col`` is unique inside a group (the callers
 aggregate ties first or order by a key).
@@ -21,27 +18,17 @@ aggregate ties first or order by a key).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lagoon.operators.ranges import PART, PART_ROWS, range_parts
 from lagoon.session import materialize
 
-_R = "__range"
 BROADCAST_LIMIT = 1_000_000
 
 
-def _cut_points(df: DataFrame, order_col: str, n_ranges: int, rel_error: float) -> list[float]:
-    if n_ranges <= 1:
-        return []
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = df.approxQuantile(order_col, probs, rel_error)
-    return sorted({float(c) for c in cuts if c is not None and math.isfinite(c)})
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null equals null; the result has the left side's keys."""
     named = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -49,47 +36,33 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(named, same, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def with_range(df: DataFrame, order_col: str, n_ranges: int, rel_error: float = 0.001) -> DataFrame:
-    splits = [float("-inf"), *_cut_points(df, order_col, n_ranges, rel_error), float("inf")]
-    tmp = "__order_d"
-    if len(splits) == 2:                       # empty input, or one distinct value
-        return df.withColumn(_R, F.lit(0))
-    # NaN gets the range above all others, as Spark sorts it last.
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=_R, handleInvalid="keep").transform(
-        df.withColumn(tmp, F.col(order_col).cast("double")))
-    return bucketed.withColumn(_R, F.col(_R).cast("int")).drop(tmp)
-
-
 def ordered_prefix(df: DataFrame, order_col: str, sums: dict[str, Column],
                    group_cols: Sequence[str] = (), n_ranges: int | None = None,
-                   inclusive: bool = True, rel_error: float = 0.001) -> DataFrame:
+                   inclusive: bool = True, part_rows: int = PART_ROWS) -> DataFrame:
     """Append ``name = running sum of expr`` for each entry of ``sums``.
 
     Rows are ordered by ``order_col`` inside each group.  ``inclusive``
     counts the current row; otherwise only rows strictly before it are
-    counted.
+    counted.  ``n_ranges`` overrides the number of ranges that ``part_rows`` asks for.
     """
     groups = list(group_cols)
-    if n_ranges is None:
-        n_ranges = max(2, 2 * df.sparkSession.sparkContext.defaultParallelism)
-    values = {f"__v_{n}": e.cast("double") if not isinstance(e, str) else F.col(e).cast("double")
-              for n, e in sums.items()}
-    ranged = with_range(df.select("*", *[e.alias(k) for k, e in values.items()]),
-                        order_col, n_ranges, rel_error)
-
-    totals = ranged.groupBy(*groups, _R).agg(*[F.sum(k).alias(f"{k}_tot") for k in values])
-    w_off = Window.partitionBy(*groups).orderBy(_R).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(totals.select(*groups, _R, *[
+    values = {f"__v_{n}": (F.col(e) if isinstance(e, str) else e).cast("double") for n, e in sums.items()}
+    ranged = range_parts(df.select("*", *[e.alias(k) for k, e in values.items()]), [*groups, order_col],
+                         part_rows, n_ranges)
+
+    totals = ranged.groupBy(*groups, PART).agg(*[F.sum(k).alias(f"{k}_tot") for k in values])
+    w_off = Window.partitionBy(*groups).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(totals.select(*groups, PART, *[
         F.coalesce(F.sum(f"{k}_tot").over(w_off), F.lit(0.0)).alias(f"{k}_off") for k in values
     ]))
     if offsets.count() <= BROADCAST_LIMIT:
         offsets = F.broadcast(offsets)
 
     end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*groups, _R).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+    w_in = Window.partitionBy(*groups, PART).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     local = ranged.select("*", *[F.coalesce(F.sum(k).over(w_in), F.lit(0.0)).alias(f"{k}_loc")
                                  for k in values])
-    joined = join_null_safe(local, offsets, [*groups, _R])
+    joined = join_null_safe(local, offsets, [*groups, PART])
     return joined.select(
         *df.columns,
         *[(F.col(f"{k}_loc") + F.col(f"{k}_off")).alias(name)

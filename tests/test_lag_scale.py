@@ -1,7 +1,7 @@
 """Lags, collapse, scaler and statistics (FIXTURES C6-C12)."""
 
 import pytest
-from conftest import SF01
+from conftest import SF001, SF01
 from pyspark.sql import functions as F
 
 from lagoon.functions.columns import yes_no_flag
@@ -111,7 +111,7 @@ def test_lag_equals_sequence_element(spark):
 
 
 def test_lag_hot_split_exact(spark):
-    events = events_panel(spark, SF01)
+    events = events_panel(spark, SF001)
     plain = ScaledLag(partition_col="user_id", order_cols=["ts", "event_id"], sequence_feature_cols=["value"],
                       sequence_length=5, hot_entity_rows=0).fit(events)
     split = plain.copy()
@@ -131,21 +131,39 @@ def _bursty(spark):
     return spark.createDataFrame(rows, "e string, ts timestamp_ntz, id long, x double")
 
 
-def test_hot_buckets_follow_row_counts_not_time(spark):
-    """A burst in one hot entity still yields buckets of about bucket_rows rows, in time order."""
-    from lagoon.operators.lookback import _B, _HOT, _bucketed, _ordinal
-    df = _bursty(spark)
-    ordinal = _ordinal(df, "ts")
-    hot = (df.groupBy("e").agg(F.count(F.lit(1)).alias("__n"), F.min(ordinal).alias("__lo"),
-                               F.max(ordinal).alias("__hi")).where(F.col("__n") > 50))
-    tagged = _bucketed(df, "e", ordinal, hot, 1, bucket_rows=40, slots_per_bucket=16, broadcast_limit=1000)
-    sizes = {r[_B]: r["n"] for r in tagged.where(F.col(_HOT)).groupBy(_B).agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert sum(sizes.values()) == 400
-    assert max(sizes.values()) <= 80          # uniform time cuts would put 180+ rows in one bucket
-    # buckets are contiguous: the order key never goes down when the bucket goes up
-    spans = tagged.where(F.col(_HOT)).groupBy(_B).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy(_B).collect()
-    assert all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
-    assert tagged.where(~F.col(_HOT)).select(_B).distinct().collect()[0][0] == 0
+def test_ranges_follow_row_counts_not_time(spark):
+    """A burst in one hot entity still yields ranges of about part_rows rows, in time order."""
+    from lagoon.operators.ranges import PART, range_parts
+    parts = range_parts(_bursty(spark), ["e", "ts", "id"], part_rows=40)
+    spans = parts.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("e", "ts", "id")).alias("lo"),
+                                    F.max(F.struct("e", "ts", "id")).alias("hi")).orderBy(PART).collect()
+    assert sum(r["n"] for r in spans) == 430
+    assert max(r["n"] for r in spans) <= 80         # uniform time cuts would put 180+ rows in one range
+    assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("kind", ["one instant", "text"])
+def test_crowded_instants_and_text_orders_are_split_and_exact(spark, kind):
+    """All rows of one day, or an order column of strings: the hot entity is still cut, and equals a brute force."""
+    from lagoon.operators.lookback import lookback
+    from lagoon.operators.ranges import PART, range_parts
+    rows = [("hot" if i % 3 else None if i % 2 else f"e{i % 5}", "same" if kind == "one instant" else f"d{i * 7 % 400:03d}", i, float(i % 23))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "e string, d string, id long, x double").repartition(5)
+
+    def build(w):
+        return [F.collect_list("x").over(w.rowsBetween(-4, -1)).alias("h"), F.lag("x", 2).over(w).alias("l2")]
+
+    got = {r["id"]: (r["h"], r["l2"]) for r in lookback(df, "e", ["d", "id"], 4, build, hot_rows=100, bucket_rows=30).collect()}
+    past, want = {}, {}
+    for e, _, i, x in sorted(rows, key=lambda r: (r[1], r[2])):
+        have = past.setdefault(e, [])
+        want[i] = (have[-4:], have[-2] if len(have) > 1 else None)
+        have.append(x)
+    assert got == want
+    parts = range_parts(df, ["e", "d", "id"], part_rows=30).where("e = 'hot'")
+    assert parts.select(PART).distinct().count() > 5
+    assert parts.groupBy(PART).count().agg(F.max("count")).first()[0] <= 60
 
 
 @pytest.mark.parametrize("limit", [1000, 0])      # broadcast mapping, and the shuffle-join branch
@@ -174,7 +192,7 @@ def test_hot_path_shuffles_input_once(spark, kind):
     """Settled rows and re-done heads share one input shuffle (AQE reuses the exchange)."""
     from lagoon.operators.sequence import Sequencer
 
-    events = events_panel(spark, SF01)
+    events = events_panel(spark, SF001)
     if kind == "lag":
         model = ScaledLag(partition_col="user_id", order_cols=["ts", "event_id"], sequence_feature_cols=["value"],
                           sequence_length=5, hot_entity_rows=20, bucket_rows=7).fit(events)
@@ -185,4 +203,4 @@ def test_hot_path_shuffles_input_once(spark, kind):
         out = model.transform(events).select("event_id", "value_sequence")
     plan = _executed_plan(out)
     assert "ReusedExchange" in plan
-    assert plan.count("FileScan parquet") == 1
+    assert plan.count("FileScan parquet") == 1      # the stored ranges

@@ -107,3 +107,31 @@ def test_folds_keep_entities_whole(spark):
     per_entity = folds.groupBy("o_custkey").agg(F.countDistinct("fold").alias("k"))
     assert per_entity.where("k > 1").count() == 0
     assert {r[0] for r in folds.select("fold").distinct().collect()} == {0, 1, 2}
+
+
+def test_running_sums_evaluate_their_input_once(spark):
+    """AUC over continuous scores and batch numbers: each input row is computed exactly once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(3000).select("id", (F.hash("id") % 1000 / 7).alias("s"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    df = df.repartition(6).mapInArrow(watched, df.schema)
+    assert auc_by_rank(df, "y", "s", n_ranges=5).first().n_pos == 1000
+    assert seen.value == 3000
+    batches = batch_losses(df, "id", "y", "s", n_shards=3, batch_size=100)
+    assert batches.agg(F.sum("n")).first()[0] == 3000
+    assert seen.value == 6000
+
+
+def test_prefix_sums_over_strings_and_nulls(spark):
+    rows = [(None if i == 5 else f"k{i:03d}", i % 2, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, g int, v double").repartition(4)
+    got = {(r.k, r.g): r.run for r in ordered_prefix(df, "k", {"run": F.col("v")}, ["g"], part_rows=17).collect()}
+    run = {0: 0.0, 1: 0.0}
+    for k, g, v in sorted(rows, key=lambda r: r[0] or ""):
+        run[g] += v
+        assert got[k, g] == run[g]

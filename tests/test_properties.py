@@ -48,12 +48,12 @@ def build(w):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=rows_strategy, hot_rows=st.integers(1, 30), bucket_rows=st.integers(1, 12),
-       slots=st.integers(1, 8), broadcast=st.booleans())
-def test_lookback_equals_brute_force(spark, rows, hot_rows, bucket_rows, slots, broadcast):
+       broadcast=st.booleans())
+def test_lookback_equals_brute_force(spark, rows, hot_rows, bucket_rows, broadcast):
     data = [(e, START + dt.timedelta(minutes=t), rid, x) for rid, (e, t, x) in enumerate(rows)]
     df = spark.createDataFrame(data, "e string, ts timestamp_ntz, id long, x double")
     out = lookback(df, "e", ["ts", "id"], DEPTH, build, hot_rows=hot_rows, bucket_rows=bucket_rows,
-                   slots_per_bucket=slots, broadcast_limit=1000 if broadcast else 0)
+                   broadcast_limit=1000 if broadcast else 0)
     got = {(r["id"], r["l1"], r["l2"], r["l3"], tuple(r["h"])) for r in out.collect()}
     assert out.count() == len(rows)
     assert got == brute_force(rows)

@@ -1,7 +1,7 @@
 """Sequencer and look-back windows on hand-made frames (FIXTURES C1-C5) and driver tables."""
 
 import pytest
-from conftest import SF01
+from conftest import SF001, SF01
 from pyspark.sql import functions as F
 
 from lagoon.operators.sequence import Sequencer, SequencerModel
@@ -118,7 +118,7 @@ def test_result_unchanged_under_repartition(spark):
 @pytest.mark.parametrize("policy", ["skip", "mask"])
 def test_hot_entity_split_is_exact(spark, policy):
     """Splitting hot customers into small time buckets (some shorter than N) changes nothing."""
-    panel = orders_panel(spark, SF01)
+    panel = orders_panel(spark, SF001)
     plain = sequencer(policy, hot_entity_rows=0).fit(panel)
     split = sequencer(policy, hot_entity_rows=8, bucket_rows=3).fit(panel)
     cols = ["o_orderkey"] + [f"{f}_{s}" for f in ("o_totalprice", "n_items", "sum_qty")
