@@ -12,13 +12,13 @@ from lagoon.operators.collapse import CollapseMask
 from lagoon.operators.lag import ScaledLag, lag_names
 from lagoon.operators.scaler import ColumnScaler
 from lagoon.operators.sequence import Sequencer
-from lagoon.operators.split import entity_split, shard_batch_counts, shard_of
+from lagoon.operators.split import entity_split
 from lagoon.operators.stats import stats_frame
 from lagoon.plans.common import (BATCH_SIZE, N_SHARDS, ORDER_FEATURES, ORDER_STATS_COLS, SEED,
                                  SEQ_LEN, STATIC_INPUTS, STATIC_SCALED, VALIDATION_PERCENT)
 from lagoon.sources.panels import ORDERS, orders_panel
 from lagoon.sources.tables import read_table
-from lagoon.sources.training_sets import read_training_set, write_training_set
+from lagoon.sources.training_sets import read_training_set, shard_rows, write_shards, write_training_set
 
 KEY = ORDERS.row_key
 
@@ -186,15 +186,21 @@ def train_roundtrip(spark, sf_dir):
     )
 
 
-def shard_counts(spark, sf_dir):
+def _stored_shards(spark, sf_dir):
+    """The training orders as a trainer's shards, one round (keys only: the counts need no more)."""
     train, _ = _split(spark, sf_dir)
-    return (train.select(shard_of(KEY, N_SHARDS, SEED).alias("shard"))
-            .groupBy("shard").agg(F.count(F.lit(1)).alias("n_rows")))
+    return write_shards(train.select(KEY), spark, "orders-shards", KEY, N_SHARDS, 1, SEED)
+
+
+def shard_counts(spark, sf_dir):
+    """Rows per stored shard, from Parquet footers."""
+    return shard_rows(spark, _stored_shards(spark, sf_dir)).select("shard", "n_rows")
 
 
 def batch_counts(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    return shard_batch_counts(train, KEY, N_SHARDS, BATCH_SIZE, SEED)
+    """Batches of each stored shard, from Parquet footers."""
+    rows = shard_rows(spark, _stored_shards(spark, sf_dir))
+    return rows.select("shard", "n_rows", F.ceil(F.col("n_rows") / F.lit(BATCH_SIZE)).cast("long").alias("n_batches"))
 
 
 def preview_topk(spark, sf_dir, k: int = 5):

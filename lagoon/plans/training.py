@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lagoon.functions.arrays import float_array, valid_length
+from lagoon.functions.arrays import float_array
 from lagoon.operators import seqnet
 from lagoon.operators.assemble import stack_sequences
 from lagoon.operators.collapse import FillMissing
 from lagoon.operators.lag import lag_names
-from lagoon.operators.metrics import regression_metrics
+from lagoon.operators.metrics import batch_losses, mean_batch_loss, regression_metrics, weighted_loss
 from lagoon.operators.models import gbt_forecaster, grouped_cross_validator, logistic_scorer
 from lagoon.operators.scaler import ColumnScaler
 from lagoon.operators.split import entity_split, row_split, with_folds
@@ -18,14 +18,16 @@ from lagoon.plans.common import (BATCH_SIZE, EVENT_FEATURES, ORDER_FEATURES, SEE
                                  STATIC_INPUTS, STATIC_SCALED, VALIDATION_PERCENT)
 from lagoon.plans.events import lag_stage
 from lagoon.plans.orders import sequencer
+from lagoon.session import scratch_path
 from lagoon.sources.panels import EVENTS, ORDERS, events_panel, orders_panel
-from lagoon.sources.training_sets import read_shards, read_training_set, write_training_set
+from lagoon.sources.training_sets import read_training_set, write_shards, write_training_set
 
 KEY = ORDERS.row_key
 GBT_TREES = 100
 SEQNET_EPOCHS = 6
-SEQNET_MIN_SHARDS = 2            # the original workflow trains on two workers
-SEQNET_ROWS_PER_SHARD = 1_000_000
+SEQNET_SHARDS = 8
+SEQNET_BATCH = 2 * BATCH_SIZE    # rows of a step over all shards: the original workflow has two workers
+SEQNET_SYNC_EVERY = 16
 
 
 def _gbt():
@@ -82,33 +84,54 @@ def _model_inputs(scaler, seq_model, df):
     )
 
 
-def _fit_seqnet(spark, sf_dir, epochs=SEQNET_EPOCHS):
+def _split_inputs(spark, sf_dir):
+    """Model inputs of the training and validation customers, from statistics of the training ones; and the scaler."""
     train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
     scaler = ColumnScaler(inputCols=STATIC_SCALED).fit(train)
     seq_model = sequencer(null_policy="mask", emit_history_len=True).fit(train)
-    path = write_training_set(_model_inputs(scaler, seq_model, train), spark, "seqnet-train",
-                              shuffle_key=KEY, seed=SEED)
-    n_shards = seqnet.shard_count(read_training_set(spark, path).count(), SEQNET_ROWS_PER_SHARD,
-                                  SEQNET_MIN_SHARDS)
-    shards = read_shards(spark, path, KEY, n_shards)
-    result = seqnet.train(spark, shards, SHAPE, SEQ_LEN, n_shards, epochs=epochs,
-                          batch_size=BATCH_SIZE, seed=SEED)
-    return result, scaler, seq_model, validate
+    return _model_inputs(scaler, seq_model, train), _model_inputs(scaler, seq_model, validate), scaler
+
+
+def _fit_seqnet(spark, train, epochs=SEQNET_EPOCHS, shards=SEQNET_SHARDS, sync_every=SEQNET_SYNC_EVERY):
+    """Train on stored shards and save the net: its epochs and the path of the model."""
+    once = read_training_set(spark, write_training_set(train, spark, "seqnet-input"))
+    rounds = seqnet.round_count(once.count(), SEQNET_BATCH, sync_every)      # counted from footers
+    path = write_shards(once, spark, "seqnet-train", KEY, shards, rounds, SEED)
+    result = seqnet.train(spark, read_training_set(spark, path), SHAPE, SEQ_LEN, rounds, epochs, sync_every, seed=SEED)
+    saved = scratch_path(spark, "seqnet-model")
+    seqnet.SeqNetModel.of(SHAPE, SEQ_LEN, result.params).write().overwrite().save(saved)
+    return result.epochs, saved
+
+
+def _net_model(spark, sf_dir, train):
+    """The net that this application has trained on ``sf_dir``, read from its folder; trained first if there is none."""
+    known = spark.sparkContext.__dict__.setdefault("_lagoon_nets", {})
+    if sf_dir not in known:
+        known[sf_dir] = _fit_seqnet(spark, train)[1]
+    return seqnet.SeqNetModel.load(known[sf_dir])
 
 
 def seqnet_train(spark, sf_dir):
-    """Loss per epoch of the data-parallel sequence net (one Spark job per epoch)."""
-    result, *_ = _fit_seqnet(spark, sf_dir)
-    return spark.createDataFrame(result.epochs, "epoch int, weighted_loss double, n_rows long, n_batches long")
+    """Loss per epoch of the synchronously trained sequence net; the net is saved."""
+    epochs, saved = _fit_seqnet(spark, _split_inputs(spark, sf_dir)[0])
+    spark.sparkContext.__dict__.setdefault("_lagoon_nets", {})[sf_dir] = saved
+    return spark.createDataFrame(epochs, "epoch int, weighted_loss double, n_rows long, n_batches long")
 
 
 def seqnet_score(spark, sf_dir):
-    """Validation predictions, back in the target's own units."""
-    result, scaler, seq_model, validate = _fit_seqnet(spark, sf_dir)
-    inputs = _model_inputs(scaler, seq_model, validate)
-    preds = seqnet.predict(spark, inputs, SHAPE, SEQ_LEN, result.params, KEY)
+    """Validation predictions of the saved net, back in the target's own units; the label is not read."""
+    train, validate, scaler = _split_inputs(spark, sf_dir)
+    scored = _net_model(spark, sf_dir, train).transform(validate.select(KEY, "steps", "length", "statics"))
     back = scaler.inverse(F.col("prediction"), "o_totalprice")
-    return preds.select(KEY, F.col("prediction").alias("prediction_scaled"), back.alias("prediction"))
+    return scored.select(KEY, F.col("prediction").alias("prediction_scaled"), back.alias("prediction"))
+
+
+def seqnet_eval(spark, sf_dir):
+    """Validation loss of the saved net in scaled units: the mean of batch means, and by rows."""
+    train, validate, _ = _split_inputs(spark, sf_dir)
+    scored = _net_model(spark, sf_dir, train).transform(validate.select(KEY, "steps", "length", "statics", "target"))
+    batches = batch_losses(scored, KEY, "target", "prediction", 1, BATCH_SIZE, SEED)
+    return mean_batch_loss(batches).crossJoin(weighted_loss(batches))         # one row each
 
 
 QUERIES = {
@@ -117,4 +140,5 @@ QUERIES = {
     "logit_scores": logit_scores,
     "seqnet_train": seqnet_train,
     "seqnet_score": seqnet_score,
+    "seqnet_eval": seqnet_eval,
 }

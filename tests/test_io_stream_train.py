@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lagoon.operators import seqnet
 from lagoon.sources.csv import HOUSEHOLD_SCHEMA, NullValuesError, read_csv_panel
 from lagoon.sources.panels import events_panel
-from lagoon.sources.training_sets import read_shards, write_training_set
+from lagoon.sources.training_sets import footer_counts, shard_rows, write_shards, write_training_set
 from lagoon.streaming.history import ring_histories, run_histories
 from lagoon.streaming.projection import run_to_parquet, run_until_batch, table_stream
 
@@ -41,14 +41,45 @@ def test_csv_blank_row_rejected(spark, tmp_dir):
         read_csv_panel(spark, path, HOUSEHOLD_SCHEMA)
 
 
-def test_shuffled_write_keeps_rows_and_shards_balance(spark):
+def test_shuffled_write_keeps_rows(spark):
     events = events_panel(spark, SF01)
     path = write_training_set(events, spark, "t-events", shuffle_key="event_id", n_files=3)
     back = spark.read.parquet(path)
     assert back.count() == events.count()
     assert back.exceptAll(events).count() == 0
-    counts = [r[1] for r in read_shards(spark, path, "event_id", 4).groupBy("shard").count().collect()]
-    assert len(counts) == 4 and max(counts) - min(counts) < 0.1 * max(counts)
+
+
+def test_stored_shards_are_the_read_plan(spark):
+    """One sorted file per shard and round; rounds hold the same rows for any number of shards; counts come from footers."""
+    events = events_panel(spark, SF01)
+    two, eight = (write_shards(events, spark, "t-shards", "event_id", n, 3) for n in (2, 8))
+    a, b = spark.read.parquet(two), spark.read.parquet(eight)
+    assert a.drop("shard", "round").exceptAll(events).count() == 0 and a.count() == b.count() == events.count()
+    assert a.select("event_id", "round").exceptAll(b.select("event_id", "round")).count() == 0
+    assert len(b.inputFiles()) == 24
+    one = b.where("round = 1")
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    counts = {(r.shard, r.round): r.n_rows for r in shard_rows(spark, eight, ("shard", "round")).collect()}
+    assert counts == {(r.shard, r.round): r["count"] for r in b.groupBy("shard", "round").count().collect()}
+    whole = [r.n_rows for r in shard_rows(spark, eight).collect()]
+    assert len(whole) == 8 and max(whole) - min(whole) < 0.15 * max(whole)
+
+
+def test_footer_counts_read_no_column(spark):
+    path = write_shards(spark.range(500).withColumnRenamed("id", "k"), spark, "t-footers", "k", 4, 1)
+    names = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        plan = footer_counts(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [shard, round]" in plan
+    assert {k: spark.conf.get(k) for k in names} == before
+    assert sum(r.n_rows for r in shard_rows(spark, path).collect()) == 500
+    assert {k: spark.conf.get(k) for k in names} == before
 
 
 def test_saved_pipeline_loads_in_fresh_process(spark):
@@ -144,7 +175,7 @@ def test_zero_history_rows_ignore_lstm():
     assert a[0] == pytest.approx(b[0])
 
 
-def _toy_shards(spark, n_rows, n_shards):
+def _toy_set(spark, n_rows):
     rng = np.random.default_rng(5)
     rows = []
     for k in range(n_rows):
@@ -153,24 +184,55 @@ def _toy_shards(spark, n_rows, n_shards):
         stat = rng.normal(size=2)
         target = float(stat[0] * 0.8 - stat[1] * 0.5 + (steps[:length, 0].sum() if length else 0.0) * 0.3)
         rows.append((k, steps.tolist(), length, stat.tolist(), target))
-    df = spark.createDataFrame(rows, "k long, steps array<array<float>>, length int, statics array<float>, target double")
-    return df.repartition(n_shards, "k")
+    return spark.createDataFrame(rows, "k long, steps array<array<float>>, length int, statics array<float>, target double")
 
 
-def test_seqnet_loss_falls_and_shards_agree(spark):
+def _trained(spark, df, shards, rounds, sync_every, epochs=6):
     shape = seqnet.NetShape(n_features=2, n_statics=2, seq_hidden=8, static_hidden=8)
-    one = seqnet.train(spark, _toy_shards(spark, 600, 1), shape, 3, 1, epochs=8, batch_size=50, lr=0.01)
-    two = seqnet.train(spark, _toy_shards(spark, 600, 2), shape, 3, 2, epochs=8, batch_size=50, lr=0.01)
-    l1 = [e["weighted_loss"] for e in one.epochs]
-    l2 = [e["weighted_loss"] for e in two.epochs]
-    assert l1[-1] < 0.6 * l1[0]
-    assert l2[-1] < 0.6 * l2[0]
-    assert abs(l1[-1] - l2[-1]) < 0.5 * l1[0]
-    assert one.epochs[0]["n_rows"] == two.epochs[0]["n_rows"] == 600
-
-
-def test_seqnet_empty_shard_contributes_nothing(spark):
-    shape = seqnet.NetShape(n_features=2, n_statics=2, seq_hidden=4, static_hidden=4)
-    shards = _toy_shards(spark, 40, 1).repartition(3)      # 3 partitions, some possibly tiny
-    res = seqnet.train(spark, shards.coalesce(1).union(shards.limit(0)), shape, 3, 2, epochs=1, batch_size=16)
-    assert res.epochs[0]["n_rows"] == 40
+    stored = spark.read.parquet(write_shards(df, spark, "toy", "k", shards, rounds))
+    return seqnet.train(spark, stored, shape, 3, rounds, epochs, sync_every, lr=0.02)
+
+
+def test_every_step_averaged_makes_the_shard_count_irrelevant(spark):
+    """Gradients averaged at each step: 2 and 16 shards agree to 1e-4 of the loss and of the weights."""
+    df = _toy_set(spark, 600)
+    two, many = (_trained(spark, df, n, 6, 1) for n in (2, 16))
+    for a, b in zip(two.epochs, many.epochs, strict=True):
+        assert a["weighted_loss"] == pytest.approx(b["weighted_loss"], rel=1e-4)
+        assert a["n_rows"] == b["n_rows"] == 600
+    assert np.abs(two.params - many.params).max() < 1e-4 * np.abs(two.params).max() + 1e-4
+    assert two.epochs[-1]["weighted_loss"] < 0.6 * two.epochs[0]["weighted_loss"]
+
+
+def test_steps_between_averages_keep_shards_close(spark):
+    """Four steps between averages: 2 and 16 shards end within a fifth of the first loss, both well below it."""
+    df = _toy_set(spark, 600)
+    two, many = (_trained(spark, df, n, 3, 4) for n in (2, 16))
+    first = two.epochs[0]["weighted_loss"]
+    last = [x.epochs[-1]["weighted_loss"] for x in (two, many)]
+    assert max(last) < 0.7 * first and abs(last[0] - last[1]) < 0.2 * first
+
+
+def test_empty_shards_and_rounds_contribute_nothing(spark):
+    got = _trained(spark, _toy_set(spark, 20), 9, 5, 2, epochs=1)
+    assert got.epochs[0]["n_rows"] == 20
+
+
+def test_saved_net_predicts_the_same_in_a_fresh_process(spark, tmp_dir):
+    df = _toy_set(spark, 60)
+    got = _trained(spark, df, 2, 2, 1, epochs=1)
+    model = seqnet.SeqNetModel.of(seqnet.NetShape(2, 2, 8, 8), 3, got.params)
+    model.write().overwrite().save(f"{tmp_dir}/net")
+    unlabelled = df.drop("target")
+    unlabelled.coalesce(1).write.parquet(f"{tmp_dir}/rows")
+    want = {r.k: r.prediction for r in model.transform(spark.read.parquet(f"{tmp_dir}/rows")).collect()}
+    code = (
+        "from lagoon.session import local_session; from lagoon.operators.seqnet import SeqNetModel\n"
+        "spark = local_session(2)\n"
+        f"for r in SeqNetModel.load({tmp_dir + '/net'!r}).transform(spark.read.parquet({tmp_dir + '/rows'!r})).collect():\n"
+        "    print('ROW', r.k, r.prediction.hex())\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, env=os.environ | {"PYTHONPATH": root})
+    lines = [x.split() for x in out.stdout.splitlines() if x.startswith("ROW")]
+    assert {int(k): float.fromhex(v) for _, k, v in lines} == want, out.stderr[-2000:]
+    assert len(want) == 60
