@@ -9,19 +9,27 @@ a NaN-aware booster would.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from lagoon.functions.columns import rounded_zscore
 from lagoon.operators.assemble import vector_assembler
 from lagoon.operators.collapse import FillMissing
-from lagoon.operators.lag import ScaledLag, lag_names
-from lagoon.operators.scaler import ColumnScaler
+from lagoon.operators.folds import fold_moments, stats_without
+from lagoon.operators.lag import ScaledLag, ScaledLagModel, lag_names
+from lagoon.operators.metrics import regression_metrics
+from lagoon.operators.ranges import stored_parquet
+from lagoon.operators.scaler import ColumnScaler, ColumnScalerModel
+from lagoon.operators.stats import FeatureStats, validate_stats
 
 
 def gbt_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[str], label: str,
@@ -44,6 +52,55 @@ def gbt_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[st
     return Pipeline(stages=stages)
 
 
+def _scaled_inputs(stored: DataFrame, stats: FeatureStats, features: Sequence[str], length: int, statics_to_scale: Sequence[str],
+                   flags: Sequence[str]) -> DataFrame:
+    """Features of ``gbt_forecaster`` from stored raw lags, scaled by the given statistics."""
+    lags = {f"{c}_lag_{i}": stats[c] for c in features for i in range(1, length + 1)}
+    scaled = {lag: F.when(F.col(f"{lag}_mask") == 1, F.lit(0.0)).otherwise(rounded_zscore(lag, s["mean"], s["std"])) for lag, s in lags.items()}
+    fixed = ColumnScalerModel(list(statics_to_scale), {c: stats[c] for c in statics_to_scale}).transform(stored.withColumns(scaled))
+    statics = [*[f"{c}_scaled" for c in statics_to_scale], *flags]
+    return FillMissing(inputCols=statics).transform(fixed)
+
+
+def grouped_cv(panel: DataFrame, entity: str, order_cols: Sequence[str], features: Sequence[str], label: str, length: int,
+               statics_to_scale: Sequence[str], flags: Sequence[str] = (), fold_col: str = "fold", num_folds: int = 3,
+               parallelism: int = 2, max_iter: int = 100, max_depth: int = 5, seed: int = 42) -> tuple[PipelineModel, list[float]]:
+    """k-fold CV of the boosted forecaster over entity folds, and the model fitted on all rows.
+
+    The panel with its raw lags is computed once and stored: folds hold whole entities, so
+    lags never cross them.  One aggregate gives the moments of all folds; each fold's model is
+    scaled by the statistics of the other folds (``folds.stats_without``), as a refit would.
+    Returns the fitted pipeline (lags, scaling, filling, assembling, trees) and the folds' rmse.
+    """
+    features, order_cols, statics_to_scale = list(features), list(order_cols), list(statics_to_scale)
+    raw = ScaledLagModel(partition_col=entity, order_cols=order_cols, sequence_feature_cols=features, sequence_length=length,
+                         no_scaling_cols=features, feature_stats={}).transform(panel)
+    stored = stored_parquet(raw, "cv-lags")
+    moments = fold_moments(stored, [*features, *statics_to_scale], fold_col)
+    lags = lag_names(features, length)
+    statics = [*[f"{c}_scaled" for c in statics_to_scale], *flags]
+    assembler = vector_assembler([*lags, *[f"{c}_mask" for c in lags], *statics, *[f"{c}_missing" for c in statics]],
+                                 "features", handle_invalid="keep")
+    trees = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter, maxDepth=max_depth, seed=seed)
+
+    def fit(fold: int | None):
+        stats = validate_stats(stats_without(moments, fold))
+        inputs = assembler.transform(_scaled_inputs(stored, stats, features, length, statics_to_scale, flags))
+        if fold is None:
+            model = trees.fit(inputs)
+            return PipelineModel([
+                ScaledLagModel(partition_col=entity, order_cols=order_cols, sequence_feature_cols=features, sequence_length=length,
+                               feature_stats={c: stats[c] for c in features}),
+                ColumnScalerModel(statics_to_scale, {c: stats[c] for c in statics_to_scale}),
+                FillMissing(inputCols=statics), assembler, model])
+        model = trees.fit(inputs.where(F.col(fold_col) != fold))
+        return regression_metrics(model.transform(inputs.where(F.col(fold_col) == fold)), label, "prediction", None).first()["rmse"]
+
+    with ThreadPool(parallelism) as pool:
+        out = pool.map(inheritable_thread_target(panel.sparkSession)(fit), [*range(num_folds), None])
+    return out[-1], out[:-1]
+
+
 def grouped_cross_validator(pipeline: Pipeline, label: str, fold_col: str = "fold", num_folds: int = 3,
                             parallelism: int = 2, seed: int = 42) -> CrossValidator:
     """k-fold CV with folds given by a column (entity-hash folds keep histories whole)."""

@@ -164,6 +164,26 @@ TRAIN_ROUNDTRIP = (
     f"SELECT o_orderkey, o_custkey, CAST(len(h_{_F0}) AS INTEGER) AS valid_len, "
     f"CAST(CASE WHEN len(h_{_F0}) > 0 THEN h_{_F0}[len(h_{_F0})] END AS FLOAT) AS last_scaled FROM hist")
 
+VALIDATE_ROUNDTRIP = (
+    f"WITH {PANEL}, train AS (SELECT * FROM panel WHERE {is_train('o_custkey')}), "
+    f"validate AS (SELECT * FROM panel WHERE NOT {is_train('o_custkey')}), "
+    f"{stats_cte('st', 'train', ORDER_FEATURES)}, {seq_hist_cte(source='validate')}\n"
+    f"SELECT o_orderkey, o_custkey, CAST(len(h_{_F0}) AS INTEGER) AS valid_len, "
+    f"CAST(CASE WHEN len(h_{_F0}) > 0 THEN h_{_F0}[len(h_{_F0})] END AS FLOAT) AS last_scaled FROM hist")
+
+CSV_PANEL = (f"WITH {PANEL} SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_totalprice, c_acctbal, is_household "
+             "FROM panel WHERE c_acctbal IS NOT NULL")
+
+FOLD_STATS = (
+    f"WITH {PANEL}, folded AS (SELECT *, {bucket('o_custkey', 3)} AS fold FROM panel WHERE {is_train('o_custkey')})\n" + _union(
+        f"SELECT CAST({f} AS INTEGER) AS fold, '{c}' AS col, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std "
+        f"FROM folded WHERE fold <> {f}" for f in range(3) for c in ORDER_STATS_COLS))
+
+ROW_SPLIT_TEST = f"SELECT event_id, user_id FROM events WHERE {bucket('event_id', 100)} >= 80"
+
+ENTITY_FOLDS = (f"SELECT o_custkey, {bucket('o_custkey', 3)} AS fold, count(*) AS n_rows FROM orders "
+                f"WHERE {is_train('o_custkey')} GROUP BY 1, 2")
+
 SHARD_COUNTS = (f"SELECT {bucket('o_orderkey', N_SHARDS)} AS shard, count(*) AS n_rows FROM orders "
                 f"WHERE {is_train('o_custkey')} GROUP BY 1")
 
@@ -235,6 +255,11 @@ ORACLES = {
     "split_validate": SPLIT_VALIDATE,
     "split_overlap": SPLIT_OVERLAP,
     "train_roundtrip": TRAIN_ROUNDTRIP,
+    "validate_roundtrip": VALIDATE_ROUNDTRIP,
+    "csv_panel": CSV_PANEL,
+    "fold_stats": FOLD_STATS,
+    "row_split_test": ROW_SPLIT_TEST,
+    "entity_folds": ENTITY_FOLDS,
     "shard_counts": SHARD_COUNTS,
     "batch_counts": BATCH_COUNTS,
     "preview_topk": PREVIEW_TOPK,

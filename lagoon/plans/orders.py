@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lagoon.functions.arrays import explode_arrays, valid_length
 from lagoon.functions.columns import hash_percent
@@ -16,6 +17,8 @@ from lagoon.operators.split import entity_split
 from lagoon.operators.stats import stats_frame
 from lagoon.plans.common import (BATCH_SIZE, N_SHARDS, ORDER_FEATURES, ORDER_STATS_COLS, SEED,
                                  SEQ_LEN, STATIC_INPUTS, STATIC_SCALED, VALIDATION_PERCENT)
+from lagoon.session import scratch_path
+from lagoon.sources.csv import load_csv_panel
 from lagoon.sources.panels import ORDERS, orders_panel
 from lagoon.sources.tables import read_table
 from lagoon.sources.training_sets import read_training_set, shard_rows, write_shards, write_training_set
@@ -177,7 +180,10 @@ def train_roundtrip(spark, sf_dir):
     train, _ = _split(spark, sf_dir, orders_panel(spark, sf_dir))
     featured = sequencer().fit(train).transform(train)
     path = write_training_set(featured, spark, "orders-train", shuffle_key=KEY, seed=SEED)
-    back = read_training_set(spark, path)
+    return _last_scaled(read_training_set(spark, path))
+
+
+def _last_scaled(back):
     first = ORDER_FEATURES[0]
     n = valid_length(F.col(f"{first}_mask"), SEQ_LEN)
     return back.select(
@@ -203,6 +209,30 @@ def batch_counts(spark, sf_dir):
     return rows.select("shard", "n_rows", F.ceil(F.col("n_rows") / F.lit(BATCH_SIZE)).cast("long").alias("n_batches"))
 
 
+CSV_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()), T.StructField("o_orderdate", T.DateType()),
+    T.StructField("o_totalprice", T.DoubleType()), T.StructField("c_acctbal", T.DoubleType()), T.StructField("is_household", T.StringType()),
+])
+
+
+def csv_panel(spark, sf_dir):
+    """The orders panel written as CSV with a yes/no column, loaded and checked in one pass."""
+    panel = orders_panel(spark, sf_dir).where("c_acctbal IS NOT NULL")
+    path = scratch_path(spark, "orders-csv")
+    (panel.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_totalprice", "c_acctbal",
+                  F.when(F.col("is_household"), "Yes").otherwise("No").alias("is_household"))
+     .write.option("header", True).csv(path))
+    loaded, _ = load_csv_panel(spark, path, CSV_SCHEMA, flags={"is_household": "Yes"})
+    return loaded.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+def validate_roundtrip(spark, sf_dir):
+    """Fit on train, write the validation set, read it back."""
+    train, validate = _split(spark, sf_dir, orders_panel(spark, sf_dir))
+    path = write_training_set(sequencer().fit(train).transform(validate), spark, "orders-validate", shuffle_key=KEY, seed=SEED)
+    return _last_scaled(read_training_set(spark, path))
+
+
 def preview_topk(spark, sf_dir, k: int = 5):
     """First k rows in entity/time order: a TakeOrdered, no global sort."""
     cols = [ORDERS.entity, *ORDERS.order_cols, "o_totalprice"]
@@ -226,7 +256,9 @@ QUERIES = {
     "split_train": split_train,
     "split_validate": split_validate,
     "split_overlap": split_overlap,
+    "csv_panel": csv_panel,
     "train_roundtrip": train_roundtrip,
+    "validate_roundtrip": validate_roundtrip,
     "shard_counts": shard_counts,
     "batch_counts": batch_counts,
     "preview_topk": preview_topk,

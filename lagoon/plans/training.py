@@ -9,12 +9,13 @@ from lagoon.functions.arrays import float_array
 from lagoon.operators import seqnet
 from lagoon.operators.assemble import stack_sequences
 from lagoon.operators.collapse import FillMissing
+from lagoon.operators.folds import fold_moments, stats_without
 from lagoon.operators.lag import lag_names
-from lagoon.operators.metrics import batch_losses, mean_batch_loss, regression_metrics, weighted_loss
-from lagoon.operators.models import gbt_forecaster, grouped_cross_validator, logistic_scorer
+from lagoon.operators.metrics import auc_by_rank, batch_losses, mean_batch_loss, regression_metrics, weighted_loss
+from lagoon.operators.models import gbt_forecaster, grouped_cv, logistic_scorer
 from lagoon.operators.scaler import ColumnScaler
 from lagoon.operators.split import entity_split, row_split, with_folds
-from lagoon.plans.common import (BATCH_SIZE, EVENT_FEATURES, ORDER_FEATURES, SEED, SEQ_LEN,
+from lagoon.plans.common import (BATCH_SIZE, EVENT_FEATURES, ORDER_FEATURES, ORDER_STATS_COLS, SEED, SEQ_LEN,
                                  STATIC_INPUTS, STATIC_SCALED, VALIDATION_PERCENT)
 from lagoon.plans.events import lag_stage
 from lagoon.plans.orders import sequencer
@@ -45,14 +46,33 @@ def gbt_forecast(spark, sf_dir):
 def gbt_cv(spark, sf_dir):
     """3 entity folds, parallelism 2; fold metric and validation metrics of the best model."""
     train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
-    cv = grouped_cross_validator(_gbt(), "o_totalprice").fit(with_folds(train, ORDERS.entity, 3, SEED))
-    scored = cv.bestModel.transform(validate)
-    metrics = regression_metrics(scored, "o_totalprice", "prediction")
-    return metrics.select(F.lit(float(cv.avgMetrics[0])).alias("cv_rmse"), "n", "rmse", "mae", "r2")
+    model, rmse = grouped_cv(with_folds(train, ORDERS.entity, 3, SEED), ORDERS.entity, ORDERS.order_cols, ORDER_FEATURES,
+                             "o_totalprice", SEQ_LEN, ["c_acctbal", "c_nationkey"], ["is_household"], max_iter=GBT_TREES, seed=SEED)
+    metrics = regression_metrics(model.transform(validate), "o_totalprice", "prediction")
+    return metrics.select(F.lit(float(sum(rmse) / len(rmse))).alias("cv_rmse"), "n", "rmse", "mae", "r2")
 
 
-def logit_scores(spark, sf_dir):
-    """P(event is an error) from the user's recent values; 80/20 row split."""
+def fold_stats(spark, sf_dir):
+    """Mean and std that each fold's model sees (the other folds' rows), from one aggregate over all folds."""
+    train, _ = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
+    moments = fold_moments(with_folds(train, ORDERS.entity, 3, SEED), ORDER_STATS_COLS)
+    rows = [(f, c, s["mean"], s["std"]) for f in sorted(moments) for c, s in stats_without(moments, f).items()]
+    out = spark.createDataFrame(rows, "fold int, col string, mean double, std double")
+    return out.select("fold", "col", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+def row_split_test(spark, sf_dir):
+    """The 20 % of events that the logistic model is tested on."""
+    return row_split(events_panel(spark, sf_dir), EVENTS.row_key, 20, SEED)[1].select(EVENTS.row_key, EVENTS.entity)
+
+
+def entity_folds(spark, sf_dir):
+    """The fold of every customer in cross-validation."""
+    train, _ = entity_split(orders_panel(spark, sf_dir, with_statics=False), ORDERS.entity, VALIDATION_PERCENT, SEED)
+    return with_folds(train, ORDERS.entity, 3, SEED).groupBy(ORDERS.entity, "fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _logit(spark, sf_dir):
     events = events_panel(spark, sf_dir)
     # The lags of a test row may reach into training rows, the statistics may not see test rows.
     known, _ = row_split(events, EVENTS.row_key, 20, SEED)
@@ -61,8 +81,18 @@ def logit_scores(spark, sf_dir):
     lags = lag_names(EVENT_FEATURES, SEQ_LEN)
     train, test = row_split(lagged, EVENTS.row_key, 20, SEED)
     scored = logistic_scorer([*lags, *[f"{c}_mask" for c in lags], "value"], "label").fit(train).transform(test)
-    return scored.select(EVENTS.row_key, "label", "prediction",
-                         vector_to_array("probability")[1].alias("p_error"))
+    return scored.select(EVENTS.row_key, "label", "prediction", vector_to_array("probability")[1].alias("p_error"),
+                         vector_to_array("rawPrediction")[1].alias("raw_error"))
+
+
+def logit_scores(spark, sf_dir):
+    """P(event is an error) from the user's recent values, with its raw score; 80/20 row split."""
+    return _logit(spark, sf_dir)
+
+
+def logit_auc(spark, sf_dir):
+    """AUC of the logistic model's raw score on its test rows."""
+    return auc_by_rank(_logit(spark, sf_dir), "label", "raw_error")
 
 
 # ------------------------------------------------------------------ sequence net
@@ -137,7 +167,11 @@ def seqnet_eval(spark, sf_dir):
 QUERIES = {
     "gbt_forecast": gbt_forecast,
     "gbt_cv": gbt_cv,
+    "fold_stats": fold_stats,
+    "row_split_test": row_split_test,
+    "entity_folds": entity_folds,
     "logit_scores": logit_scores,
+    "logit_auc": logit_auc,
     "seqnet_train": seqnet_train,
     "seqnet_score": seqnet_score,
     "seqnet_eval": seqnet_eval,
