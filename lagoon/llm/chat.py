@@ -1,8 +1,11 @@
 """Chat formatting: schema fingerprints choose declarative mappings to canonical turns.
 
-A record is JSON in any of the layouts below.  Its *fingerprint* is a hash of
+A record is JSON or a struct in any of the layouts below.  Its *fingerprint* is a hash of
 its sorted nested field paths (array steps are ``[]``), so records of one layout
-share a fingerprint whatever their values are.  ``LAYOUTS`` lists, per set of
+share a fingerprint whatever their values are.  The paths of a struct come from its type;
+its texts are read as they are, of any length (a JSON parser refuses strings of over
+20 million characters, and such a JSON record counts as malformed).  Roles stay as they
+are said, but for the layout whose speakers have other names (``NAMES``).  ``LAYOUTS`` lists, per set of
 paths, where turns come from: a list of messages, or single fields with a fixed
 role.  Rows are matched by fingerprint (a CASE over the few known hashes), not
 by trying parsers; unknown layouts give null turns and are returned with their
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LEARN_ROLE = "assistant"
 
@@ -42,8 +46,8 @@ LAYOUTS: list[tuple[tuple[str, ...], tuple]] = [
     (("answer", "question"), ("fields", [("user", "question"), (LEARN_ROLE, "answer")])),
     (("answer", "question", "system"), ("fields", [("system", "system"), ("user", "question"), (LEARN_ROLE, "answer")])),
 ]
-#: Other names of the canonical roles.
-ROLES = {"human": "user", "gpt": LEARN_ROLE, "bot": LEARN_ROLE, "model": LEARN_ROLE, "prompter": "user"}
+#: By the field of a layout: other names of the canonical roles.
+NAMES = {"conversations": {"human": "user", "gpt": LEARN_ROLE, "bot": LEARN_ROLE, "model": LEARN_ROLE, "prompter": "user"}}
 
 _TURN = "struct<role:string,text:string>"
 
@@ -64,17 +68,31 @@ def field_paths(record: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(entries, below))))
 
 
+def struct_paths(kind: T.StructType) -> list[str]:
+    """The same field paths, from the type of a struct."""
+    out = []
+    for f in kind.fields:
+        step, inner = ("[].", f.dataType.elementType) if isinstance(f.dataType, T.ArrayType) else (".", f.dataType)
+        out += [f.name + step + x for x in inner.names] if isinstance(inner, T.StructType) and inner.names else [f.name]
+    return sorted(set(out))
+
+
 def fingerprint(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 
 
-def _turns(record: Column, how: tuple) -> Column:
+def _turns(record: Column, how: tuple, is_json: bool) -> Column:
+    def field(kind: str) -> Column:
+        return F.from_json(record, f"struct<{kind}>") if is_json else record
+
     if how[0] == "list":
-        _, field, role, text = how
-        parsed = F.from_json(record, f"struct<`{field}`:array<struct<`{role}`:string,`{text}`:string>>>")
-        return F.transform(parsed[field], lambda m: F.struct(
-            F.coalesce(m[role], F.lit("")).alias("role"), F.coalesce(m[text], F.lit("")).alias("text")))
-    parsed = F.from_json(record, "struct<" + ",".join(f"`{f}`:string" for _, f in how[1]) + ">")
+        _, name, role, text = how
+        said = field(f"`{name}`:array<struct<`{role}`:string,`{text}`:string>>")[name]
+        names = NAMES.get(name)
+        canon = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
+        return F.transform(said, lambda m: F.struct(
+            F.coalesce(*([] if canon is None else [canon[m[role]]]), m[role], F.lit("")).alias("role"), F.coalesce(m[text], F.lit("")).alias("text")))
+    parsed = field(",".join(f"`{f}`:string" for _, f in how[1]))
     return F.array(*[F.struct(F.lit(r).alias("role"), F.coalesce(parsed[f], F.lit("")).alias("text")) for r, f in how[1]])
 
 
@@ -82,17 +100,18 @@ def canonical(records: DataFrame, record_col: str = "record") -> DataFrame:
     """``records`` with ``fingerprint`` and ``turns`` (array of role, text)."""
     # Extra scalar fields don't change where the turns are: only paths that some layout names are hashed.
     known = sorted({p for paths, _ in LAYOUTS for p in paths})
-    record = F.col(record_col)
-    out = records.withColumn("_paths", field_paths(record)).withColumn(
+    record, kind = F.col(record_col), records.schema[record_col].dataType
+    is_json = not isinstance(kind, T.StructType)
+    paths = field_paths(record) if is_json else F.when(record.isNotNull(), F.array(*[F.lit(p) for p in struct_paths(kind)]))
+    out = records.withColumn("_paths", paths).withColumn(
         "fingerprint", F.when(F.col("_paths").isNotNull(), fingerprint(F.col("_paths"))))
     out = out.withColumn("_known", fingerprint(F.array_intersect("_paths", F.array(*[F.lit(p) for p in known]))))
     turns = F.lit(None).cast(f"array<{_TURN}>")
-    for paths, how in reversed(LAYOUTS):
-        chosen = F.col("_known") == fingerprint(F.array(*[F.lit(p) for p in sorted(paths)]))
-        turns = F.when(chosen, _turns(record, how)).otherwise(turns)
-    names = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    return out.withColumn("turns", F.transform(turns, lambda t: F.struct(
-        F.coalesce(names[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))).drop("_paths", "_known")
+    for names, how in reversed(LAYOUTS):
+        if is_json or set(names) <= set(struct_paths(kind)):
+            chosen = F.col("_known") == fingerprint(F.array(*[F.lit(p) for p in sorted(names)]))
+            turns = F.when(chosen, _turns(record, how, is_json)).otherwise(turns)
+    return out.withColumn("turns", turns).drop("_paths", "_known")
 
 
 def escape(text: Column) -> Column:
@@ -138,8 +157,8 @@ def loss_text(text: Column, spans: Column) -> Column:
 
 
 def as_records(conversations: DataFrame) -> DataFrame:
-    """One JSON record per conversation from rows (conv_id, turn, role, text)."""
+    """One record (a struct of messages) per conversation from rows (conv_id, turn, role, text)."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("all"))
-    return grouped.select("conv_id", F.to_json(F.struct(F.transform("all", lambda t: F.struct(
-        t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))).alias("record"))
+    return grouped.select("conv_id", F.struct(F.transform("all", lambda t: F.struct(
+        t["role"].alias("role"), t["text"].alias("content"))).alias("messages")).alias("record"))

@@ -28,8 +28,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     done = chat.formatted(chat.canonical(chat.as_records(rows.union(extra))))
     text = F.col("formatted")
     back = done.withColumns({"_turns": chat.parse(text), "_loss": chat.loss_text(text, F.col("loss_spans"))})
