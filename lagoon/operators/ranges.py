@@ -32,5 +32,7 @@ def range_parts(df: DataFrame, cols: Sequence[str], part_rows: int = PART_ROWS,
     once = stored_parquet(df, "range-input")
     # The count comes from Parquet footers; sampling and shuffling read the stored copy.
     parts = parts or max(1, -(-once.count() // int(part_rows)))
+    if parts == 1:
+        return once.withColumn(PART, F.lit(0).cast("long"))
     ranged = once.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in cols])
     return stored_parquet(ranged.withColumn(PART, F.spark_partition_id().cast("long")), "range-parts")

@@ -30,7 +30,7 @@ def stream_sequence(spark, sf_dir):
     # Part files need not be in time order, so all that is there is one micro-batch: no row is late.
     width = bucket_width(events_panel(spark, sf_dir), EVENTS.entity, EVENTS.order_cols[0])
     sink = run_histories(spark, table_stream(spark, sf_dir, "events"), EVENTS.entity, EVENTS.order_cols[0], KEY, "value",
-                         stats["mean"], stats["std"], SEQ_LEN, "1 hour", width, "events-history")
+                         stats["mean"], stats["std"], SEQ_LEN, "1 hour", width, "events-history", one_batch=True)
     back = spark.read.parquet(sink)
     return explode_arrays(back, [KEY], {"value": "value_sequence"}, "feature", "value").select(
         KEY, "feature", "pos", F.col("value"))

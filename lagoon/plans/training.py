@@ -21,14 +21,14 @@ from lagoon.plans.events import lag_stage
 from lagoon.plans.orders import sequencer
 from lagoon.session import scratch_path
 from lagoon.sources.panels import EVENTS, ORDERS, events_panel, orders_panel
-from lagoon.sources.training_sets import read_training_set, write_shards, write_training_set
+from lagoon.sources.training_sets import read_training_set, write_shards
 
 KEY = ORDERS.row_key
 GBT_TREES = 100
 SEQNET_EPOCHS = 6
 SEQNET_SHARDS = 8
 SEQNET_BATCH = 2 * BATCH_SIZE    # rows of a step over all shards: the original workflow has two workers
-SEQNET_SYNC_EVERY = 16
+SEQNET_SYNC_EVERY = 64
 
 
 def _gbt():
@@ -124,9 +124,8 @@ def _split_inputs(spark, sf_dir):
 
 def _fit_seqnet(spark, train, epochs=SEQNET_EPOCHS, shards=SEQNET_SHARDS, sync_every=SEQNET_SYNC_EVERY):
     """Train on stored shards and save the net: its epochs and the path of the model."""
-    once = read_training_set(spark, write_training_set(train, spark, "seqnet-input"))
-    rounds = seqnet.round_count(once.count(), SEQNET_BATCH, sync_every)      # counted from footers
-    path = write_shards(once, spark, "seqnet-train", KEY, shards, rounds, SEED)
+    rounds = seqnet.round_count(train.count(), SEQNET_BATCH, sync_every)     # the count needs no history
+    path = write_shards(train, spark, "seqnet-train", KEY, shards, rounds, SEED)
     result = seqnet.train(spark, read_training_set(spark, path), SHAPE, SEQ_LEN, rounds, epochs, sync_every, seed=SEED)
     saved = scratch_path(spark, "seqnet-model")
     seqnet.SeqNetModel.of(SHAPE, SEQ_LEN, result.params).write().overwrite().save(saved)

@@ -47,6 +47,7 @@ _LAST = "2262-01-01"     # pandas has no later nanoseconds; event times lie befo
 _ENTITY, _KEY, _AT, _T, _Z, _END = "hist_entity", "hist_key", "hist_at", "hist_t", "hist_z", "hist_end"
 _CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.numRecentProgressUpdates": "1000000",   # late rows are summed over all of them
 }
 
@@ -96,7 +97,7 @@ class Histories(StatefulProcessor):
             edges = np.flatnonzero(np.diff(bucket[order], prepend=bucket[order[0]] - 1))
             for at in np.split(order, edges[1:]):
                 b = int(bucket[at[0]])
-                part = self.waiting.getValue((b,))[0] if self.waiting.containsKey((b,)) else 0
+                part = (self.waiting.getValue((b,)) or (0,))[0]
                 if not part:
                     self.handle.registerTimer(self._due(b))
                 self.rows.updateValue((b, part), (t[at].tolist(), ids[at].tolist(), z[at].tolist()))
@@ -166,12 +167,14 @@ def stream_histories(df: DataFrame, entity: str, time_col: str, key: str, featur
 
 
 def run_histories(spark: SparkSession, df: DataFrame, entity: str, time_col: str, key: str, feature: str, mean: float,
-                  std: float, length: int, delay: str, bucket_us: int, name: str = "histories") -> str:
+                  std: float, length: int, delay: str, bucket_us: int, name: str = "histories", one_batch: bool = False) -> str:
     """Run a finite stream to its end and return the Parquet sink with one history for each row.
 
     First all pending input is processed; then a closing row joins from a second, until then
-    empty source and a second run from the same checkpoint sends out what still waits.
-    Raises ``LateRowsError`` if Spark dropped rows behind the watermark.
+    empty source and a second run from the same checkpoint sends out what still waits.  For a
+    source without a cap, whose input is one micro-batch, ``one_batch`` lets the closing row come
+    with it and saves the second run.  Raises ``LateRowsError`` if Spark dropped rows behind the
+    watermark, also if a source said to be one micro-batch turns out to be several.
     """
     ends, checkpoint, sink = (scratch_path(spark, f"{name}-{x}") for x in ("end", "checkpoint", "sink"))
     shape = _prepared(df, entity, time_col, key, feature, mean, std).schema
@@ -179,7 +182,7 @@ def run_histories(spark: SparkSession, df: DataFrame, entity: str, time_col: str
     closing = spark.readStream.schema(shape).parquet(ends)
     hist = stream_histories(df, entity, time_col, key, feature, mean, std, length, delay, bucket_us, closing)
     late = 0
-    for last in (False, True):
+    for last in (True,) if one_batch else (False, True):
         if last:
             (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in shape])
              .withColumns({_AT: F.lit(_LAST).cast("timestamp"), _END: F.lit(True)}).write.mode("append").parquet(ends))

@@ -70,6 +70,19 @@ def test_rows_behind_the_watermark_stop_the_run(spark, tmp_dir):
         run_histories(spark, stream, "u", "t", "id", "x", 0.0, 1.0, 3, "1 second", 1_000_000)
 
 
+def test_one_micro_batch_needs_one_run(spark, tmp_dir):
+    rows = [("a" if i % 2 else "b", (i * 37) % 100, i, float(i)) for i in range(100)]
+    stream = _stream(spark, tmp_dir, [rows[k::3] for k in range(3)], files=None)
+    sink = run_histories(spark, stream, "u", "t", "id", "x", 0.0, 1.0, 3, "1 second", 9_000_000, one_batch=True)
+    assert _got(spark, sink) == _want(rows)
+
+
+def test_several_micro_batches_said_to_be_one_stop_the_run(spark, tmp_dir):
+    rows = [("a", i, i, float(i)) for i in range(30)]
+    with pytest.raises(LateRowsError):
+        run_histories(spark, _stream(spark, tmp_dir, [rows[:10], rows[10:20], rows[20:]]), "u", "t", "id", "x", 0.0, 1.0, 3, "1 second", 9_000_000, one_batch=True)
+
+
 def test_bucket_width_follows_the_busiest_entity(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("u"), F.timestamp_seconds("id").alias("t"))
     assert bucket_width(df, "u", "t", bucket_rows=90) == (999_000_000 + 1) * 90 // 900
