@@ -17,7 +17,8 @@ micro-batches may come in any time order, as long as no row is later than ``dela
 * ``run_histories`` ends a finite input with one closing row far in the future, which
   moves the watermark past all buckets.
 
-Rows of one instant must fit a task; a row without event time stops the run.  Scaling and
+Rows of one instant must fit a task; a row without event time stops the run; event times
+lie after 1970 (Spark's first watermark) and before 2262.  Scaling and
 rounding happen in Spark before the state step (the same ``round`` as the batch path); the
 output matches the batch ``SequencerModel`` with the ``skip`` null policy.
 """
@@ -145,7 +146,9 @@ def _micros(df: DataFrame, col: str) -> Column:
 
 
 def _prepared(df: DataFrame, entity: str, time_col: str, key: str, feature: str, mean: float, std: float) -> DataFrame:
-    at = df.select(F.col(entity).alias(_ENTITY), F.col(key).cast("long").alias(_KEY), _micros(df, time_col).alias(_T),
+    # The state's key is a text that is never null: pandas turns integers beside a null into floats, which are other keys.
+    group = F.coalesce(F.concat(F.lit("="), F.col(entity).cast("string")), F.lit(""))
+    at = df.select(group.alias(_ENTITY), F.col(key).cast("long").alias(_KEY), _micros(df, time_col).alias(_T),
                    rounded_zscore(feature, mean, std).alias(_Z))
     return at.withColumns({_AT: F.timestamp_micros(_T), _END: F.lit(False)})
 
@@ -185,7 +188,7 @@ def run_histories(spark: SparkSession, df: DataFrame, entity: str, time_col: str
     for last in (True,) if one_batch else (False, True):
         if last:
             (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in shape])
-             .withColumns({_AT: F.lit(_LAST).cast("timestamp"), _END: F.lit(True)}).write.mode("append").parquet(ends))
+             .withColumns({_ENTITY: F.lit(""), _AT: F.lit(_LAST).cast("timestamp"), _END: F.lit(True)}).write.mode("append").parquet(ends))
         progress: list[dict] = []
         run_to_parquet(hist, spark, name, sink=sink, checkpoint=checkpoint, conf=_CONF, progress=progress)
         late += sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])

@@ -77,6 +77,17 @@ def test_one_micro_batch_needs_one_run(spark, tmp_dir):
     assert _got(spark, sink) == _want(rows)
 
 
+@pytest.mark.parametrize("one_batch", [True, False])
+def test_integer_entities_beside_a_null_one(spark, tmp_dir, one_batch):
+    """A null entity (and the closing row, which has none) must not turn integer keys into floats."""
+    df = spark.range(400).select((F.col("id") % 7).alias("u"), F.timestamp_seconds(1_700_000_000 + (F.col("id") * 37) % 400).alias("t"), "id",
+                                 F.col("id").cast("double").alias("x")).withColumn("u", F.when(F.col("u") > 0, F.col("u")))
+    df.repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    stream = table_stream(spark, tmp_dir, "events")
+    sink = run_histories(spark, stream, "u", "t", "id", "x", 0.0, 1.0, 3, "1 second", 90_000_000, one_batch=one_batch)
+    assert _got(spark, sink) == _want([(i % 7 or None, (i * 37) % 400, i, float(i)) for i in range(400)])
+
+
 def test_several_micro_batches_said_to_be_one_stop_the_run(spark, tmp_dir):
     rows = [("a", i, i, float(i)) for i in range(30)]
     with pytest.raises(LateRowsError):
