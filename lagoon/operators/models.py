@@ -1,9 +1,9 @@
-"""Spark ML pipelines: boosted-tree forecaster, grouped cross-validation, logistic scores.
+"""ML pipelines: boosted-tree forecasters, grouped cross-validation, logistic scores.
 
-Boosted trees here are Spark ML's ``GBTRegressor``.  It rejects NaN
-features, so missing lags are passed as 0.0 plus their 1 = missing mask
-flags (the lag stage emits both).  Trees can then split on "missing" just as
-a NaN-aware booster would.
+``boosted_forecaster`` passes missing lags and statics to histogram trees as they are;
+each split learns the side of missing values (``operators/boost.py``).
+``gbt_forecaster`` uses Spark ML's ``GBTRegressor``, which rejects NaN
+features: missing lags enter as 0.0 plus their 1 = missing mask flags.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from lagoon.functions.columns import rounded_zscore
 from lagoon.operators.assemble import vector_assembler
-from lagoon.operators.collapse import FillMissing
+from lagoon.operators.boost import HistBoost
+from lagoon.operators.collapse import CollapseMask, FillMissing
 from lagoon.operators.folds import fold_moments, stats_without
 from lagoon.operators.lag import ScaledLag, ScaledLagModel, lag_names
 from lagoon.operators.metrics import regression_metrics
@@ -52,6 +53,21 @@ def gbt_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[st
     return Pipeline(stages=stages)
 
 
+def boosted_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[str], label: str, length: int,
+                       statics_to_scale: Sequence[str], flags: Sequence[str] = (), max_iter: int = 100, max_depth: int = 5,
+                       learning_rate: float = 0.1, hot_entity_rows: int | None = None) -> Pipeline:
+    """lags -> padding back to null -> static scaler -> histogram trees that take nulls, as one Pipeline that saves whole."""
+    lags = lag_names(features, length)
+    return Pipeline(stages=[
+        ScaledLag(partition_col=entity, order_cols=list(order_cols), sequence_feature_cols=list(features),
+                  sequence_length=length, hot_entity_rows=hot_entity_rows),
+        CollapseMask(inputCols=lags),
+        ColumnScaler(inputCols=list(statics_to_scale)),
+        HistBoost(inputCols=[*lags, *[f"{c}_scaled" for c in statics_to_scale], *flags], labelCol=label,
+                  maxIter=max_iter, maxDepth=max_depth, learningRate=learning_rate),
+    ])
+
+
 def _scaled_inputs(stored: DataFrame, stats: FeatureStats, features: Sequence[str], length: int, statics_to_scale: Sequence[str],
                    flags: Sequence[str]) -> DataFrame:
     """Features of ``gbt_forecaster`` from stored raw lags, scaled by the given statistics."""

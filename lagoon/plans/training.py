@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from lagoon.operators.collapse import FillMissing
 from lagoon.operators.folds import fold_moments, stats_without
 from lagoon.operators.lag import lag_names
 from lagoon.operators.metrics import auc_by_rank, batch_losses, mean_batch_loss, regression_metrics, weighted_loss
-from lagoon.operators.models import gbt_forecaster, grouped_cv, logistic_scorer
+from lagoon.operators.models import boosted_forecaster, gbt_forecaster, grouped_cv, logistic_scorer
 from lagoon.operators.scaler import ColumnScaler
 from lagoon.operators.split import entity_split, row_split, with_folds
 from lagoon.plans.common import (BATCH_SIZE, EVENT_FEATURES, ORDER_FEATURES, ORDER_STATS_COLS, SEED, SEQ_LEN,
@@ -25,6 +26,7 @@ from lagoon.sources.training_sets import read_training_set, write_shards
 
 KEY = ORDERS.row_key
 GBT_TREES = 100
+BOOST_TREES, BOOST_DEPTH, BOOST_RATE = 20, 4, 0.3
 SEQNET_EPOCHS = 6
 SEQNET_SHARDS = 8
 SEQNET_BATCH = 2 * BATCH_SIZE    # rows of a step over all shards: the original workflow has two workers
@@ -43,6 +45,29 @@ def gbt_forecast(spark, sf_dir):
     return model.transform(validate).select(KEY, "o_totalprice", "prediction")
 
 
+def _boost_model(spark, sf_dir, train):
+    """The forecaster that this application has fitted on ``sf_dir``, read from its folder; fitted and saved first if there is none."""
+    known = spark.sparkContext.__dict__.setdefault("_lagoon_boosts", {})
+    if sf_dir not in known:
+        pipeline = boosted_forecaster(ORDERS.entity, ORDERS.order_cols, ORDER_FEATURES, "o_totalprice", SEQ_LEN,
+                                      ["c_acctbal", "c_nationkey"], ["is_household"], BOOST_TREES, BOOST_DEPTH, BOOST_RATE)
+        path = scratch_path(spark, "boost-model")
+        pipeline.fit(train).write().overwrite().save(path)
+        known[sf_dir] = path
+    return PipelineModel.load(known[sf_dir])
+
+
+def boost_forecast(spark, sf_dir):
+    """Validation customers' orders predicted by the saved and reloaded forecaster, whose trees take missing values."""
+    train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
+    return _boost_model(spark, sf_dir, train).transform(validate).select(KEY, "o_totalprice", "prediction")
+
+
+def boost_eval(spark, sf_dir):
+    """Validation metrics of the saved and reloaded forecaster."""
+    return regression_metrics(boost_forecast(spark, sf_dir), "o_totalprice", "prediction").select("n", "rmse", "mae", "r2")
+
+
 def gbt_cv(spark, sf_dir):
     """3 entity folds, parallelism 2; fold metric and validation metrics of the best model."""
     train, validate = entity_split(orders_panel(spark, sf_dir), ORDERS.entity, VALIDATION_PERCENT, SEED)
@@ -166,6 +191,8 @@ def seqnet_eval(spark, sf_dir):
 QUERIES = {
     "gbt_forecast": gbt_forecast,
     "gbt_cv": gbt_cv,
+    "boost_forecast": boost_forecast,
+    "boost_eval": boost_eval,
     "fold_stats": fold_stats,
     "row_split_test": row_split_test,
     "entity_folds": entity_folds,
