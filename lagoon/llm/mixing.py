@@ -5,18 +5,24 @@ most ``max_copies`` times its own size; what is above goes to the others by
 weight until none is above (solved in one pass over the sorted source table).
 
 Draws: the documents of a source fall by hash into about sqrt(n) blocks (64
-documents or more each).  A target is whole passes over the source plus blocks
-in a hashed order; the block that crosses the target gives documents in hashed
-order, each taken if it still fits.  So taken words fall short of the target by
-less than the smallest document that was skipped.
-
-Shards: the blocks so drawn are dealt to ``2 ** depth`` output shards.  One
+documents or more each).  A target is whole passes over the source plus a rest.
+Of the documents longer than ``LONG`` of the rest, their proportional share is drawn
+first, in hashed order, the one that reaches it included if the rest holds it: so the
+short ones always suffice for what is left.  They are drawn as blocks in a hashed
+order; the block that crosses the target gives documents in hashed
+order up to the first that does not fit.  If the gap left is above ``TOLERANCE`` of
+the target (a long document crossed it), further rounds go on in the same order
+over the documents not yet drawn that fit the gap, until the gap is within the
+tolerance or no document fits.
+
+Shards: the blocks so drawn are dealt to ``2 ** depth`` output shards, by default
+one for ``SHARD_WORDS`` words of the mix (``least_depth`` at least).  One
 row per tree node holds the quota of blocks per source; each level splits
 every node in half, the left half's counts drawn from the multivariate
 hypergeometric distribution (source by source, hypergeometric given what is
 left).  Quotas are exact at every node.  The leaves' quotas then cut each
 source's permuted blocks into disjoint runs, one per shard, and a shard is
-shuffled locally (``shard_rows``).
+shuffled locally (``shard_rows``, ``SHARD_PARTS`` tasks each).
 
 Everything is keyed by hashes of the row, so reruns agree.  No task holds more
 than about sqrt(n) blocks of a source, or one block; per-source and per-block
@@ -31,6 +37,8 @@ named like a result column (``RESULT``) are replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +47,9 @@ from lagoon.llm.tables import small, stored
 
 RESULT = ("size", "source_size", "target", "taken", "copies", "shards")
 LEAST_BLOCK = 64
+LONG, TOLERANCE = 0.01, 0.005
+SHARD_WORDS = 4_000_000
+SHARD_PARTS = 4
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -46,7 +57,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return docs.withColumns({
         "size": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"),
         "_source": F.col(source_col).cast("string"),
-        "_key": F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col)),
+        "_key": F.concat(*[F.hex(F.xxhash64(F.lit(k), F.col(id_col), F.col(source_col), F.col(text_col))) for k in (1, 2)]),
     })
 
 
@@ -103,7 +114,7 @@ def split_quotas(counts: DataFrame, depth: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_copies: int = 2,
-        depth: int = 4, seed: int = 11) -> DataFrame:
+        depth: int | None = None, least_depth: int = 4, seed: int = 11) -> DataFrame:
     """``docs`` (see ``measured``) with ``source_size, target, taken, copies, shards`` per row.
 
     ``shards`` holds one output shard per copy of the row that the mix takes.
@@ -119,30 +130,56 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
     def blocked(frame: DataFrame) -> DataFrame:
         joined = frame.join(plan.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-        return joined.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_key"), F.col("n_blocks")))
+        return joined.withColumns({"_block": F.pmod(F.xxhash64(F.lit(seed), "_key"), F.col("n_blocks")),
+                                   "_long": (F.col("rest") > 0) & (F.col("size") > LONG * F.col("rest"))})
+
+    # Long documents first: at most 1 / LONG of a source are drawn.
+    long = blocked(rows).where("_long")
+    goals = long.groupBy("_rank").agg((F.sum("size") * F.first(F.col("rest") / F.col("source_size"))).alias("goal"))
+    items = long.groupBy("_rank", "_block", "_key", F.col("rest").alias("gap")).agg(F.sum("size").alias("words"))
+    chosen = stored(_first_fitting(items.join(small(stored(goals)), "_rank"), seed))
+    got = small(stored(chosen.groupBy("_rank").agg(F.sum("words").alias("got"))))
 
     sums = blocked(rows).groupBy("_rank", "_block").agg(
-        F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("passes").alias("passes"))
+        F.sum(F.when(~F.col("_long"), F.col("size")).otherwise(0)).alias("words"), F.first("rest").alias("rest"), F.first("passes").alias("passes"))
+    sums = sums.join(got, "_rank", "left").withColumn("rest", F.col("rest") - F.coalesce("got", F.lit(0))).drop("got")
     order = Window.partitionBy("_rank").orderBy(F.xxhash64(F.lit(seed), "_rank", "_block"), "_block")
     upto = F.sum("words").over(order)
     blocks = (sums.withColumn("upto", upto)
               .withColumn("full", F.col("upto") <= F.col("rest"))
               .withColumn("gap", F.when(~F.col("full") & (F.col("upto") - F.col("words") < F.col("rest")),
                                         F.col("rest") - F.col("upto") + F.col("words"))))
-    units = F.col("passes") + F.when(F.col("full") | F.col("gap").isNotNull(), 1).otherwise(0)
-    blocks = stored(blocks.select("_rank", "_block", "passes", "full", "gap", units.alias("units")))
-
-    # The crossing block of each source: documents in hashed order, taken while they fit.
-    crossing = small(stored(blocks.where("gap IS NOT NULL").select("_rank", "_block", "gap")))
-    items = (blocked(rows).join(crossing, ["_rank", "_block"]).groupBy("_rank", "_key", "gap")
-             .agg(F.sum("size").alias("words")))
-    lists = items.groupBy("_rank", "gap").agg(F.array_sort(F.collect_list(
-        F.struct(F.xxhash64(F.lit(seed + 1), "_key").alias("turn"), "_key", "words"))).alias("items"))
-    start = F.struct(F.col("gap").alias("left"), F.array().cast("array<bigint>").alias("keys"))
-    fold = F.aggregate("items", start, lambda a, x: F.when(
-        x["words"] <= a["left"], F.struct((a["left"] - x["words"]).alias("left"),
-                                          F.concat(a["keys"], F.array(x["_key"])).alias("keys"))).otherwise(a))
-    chosen = small(stored(lists.select("_rank", F.explode(fold["keys"]).alias("_key"), F.lit(True).alias("chosen"))))
+    blocks = stored(blocks.select("_rank", "_block", "passes", "full", "gap", (F.col("rest") - F.col("upto")).alias("left")))
+
+    # The gap of each source that full blocks leave; the first round looks at the short documents of its crossing block only;
+    # where all short documents are drawn, at the long ones.
+    gaps = blocks.groupBy("_rank").agg(F.coalesce(F.max("gap"), F.min("left")).alias("gap"),
+                                       F.max(F.when(F.col("gap").isNotNull(), F.col("_block"))).alias("only")).where("gap > 0")
+    full = small(stored(blocks.where("full").select("_rank", "_block", "full")))
+    free = blocked(rows).where("size > 0").join(full, ["_rank", "_block"], "left").where("full IS NULL OR _long")
+    while True:
+        gaps = small(stored(gaps))
+        items = free.join(gaps, "_rank").where("(only IS NULL AND size <= gap) OR (only = _block AND NOT _long)")
+        items = items.join(small(chosen.select("_rank", "_key")), ["_rank", "_key"], "left_anti")
+        items = items.groupBy("_rank", "_block", "_key", "gap", "only").agg(F.sum("size").alias("words"))
+        items = items.where("words <= gap OR only IS NOT NULL").withColumn("goal", F.col("gap"))
+        picked = stored(_first_fitting(items, seed))
+        chosen = stored(chosen.unionByName(picked))
+        left = gaps.join(picked.groupBy("_rank").agg(F.sum("words").alias("got")), "_rank", "left").join(
+            targets.select("_rank", "target"), "_rank")
+        left = left.withColumn("gap", F.col("gap") - F.coalesce("got", F.lit(0)))
+        # A round without a pick was the last one, but for the first, which sees a block only.
+        gaps = stored(left.where((F.col("gap") > TOLERANCE * F.col("target")) & (F.col("got").isNotNull() | F.col("only").isNotNull()))
+                      .select("_rank", "gap", F.lit(None).cast("long").alias("only")))
+        if gaps.isEmpty():
+            break
+    partial = small(stored(chosen.select("_rank", "_block").distinct().withColumn("partial", F.lit(True))))
+    units = F.col("passes") + F.when(F.col("full") | F.col("partial"), 1).otherwise(0)
+    blocks = stored(blocks.drop("left").join(partial, ["_rank", "_block"], "left").withColumn("units", units))
+    chosen = small(stored(chosen.select("_rank", "_key", F.lit(True).alias("chosen"))))
+    if depth is None:
+        words = targets.agg(F.sum("target")).first()[0] or 0.0
+        depth = max(least_depth, math.ceil(math.log2(max(1.0, words / SHARD_WORDS))))
 
     # Units (block, copy) in a permuted order, cut by the leaves' quotas.
     drawn = blocks.where("units > 0").select(
@@ -161,14 +198,32 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
     out = blocked(docs.drop(*[c for c in RESULT if c != "size"])).join(table, ["_rank", "_block"], "left").join(
         chosen, ["_rank", "_key"], "left")
-    copies = F.col("passes") + F.when(F.col("full") | F.col("chosen"), 1).otherwise(0)
+    copies = F.col("passes") + F.when((F.col("full") & ~F.col("_long")) | F.col("chosen"), 1).otherwise(0)
     return out.withColumns({
         "copies": copies, "taken": (F.col("size") * copies).cast("long"),
         "shards": F.when(copies > 0, F.slice("_shards", F.lit(1), copies)).otherwise(F.array().cast("array<int>")),
-    }).drop("_rank", "_block", "_key", "_source", "_shards", "n_docs", "passes", "n_blocks", "rest", "full", "chosen")
+    }).drop("_rank", "_block", "_key", "_source", "_shards", "n_docs", "passes", "n_blocks", "rest", "full", "chosen", "_long")
+
+
+def _first_fitting(items: DataFrame, seed: int) -> DataFrame:
+    """The documents (_rank, _block, _key, words) that reach ``goal`` within ``gap``, in the order of blocks, then hashed in the block.
+
+    Whole blocks are decided on their sums; only the block that crosses the goal is ordered by document.
+    """
+    sums = items.groupBy("_rank", "_block").agg(F.sum("words").alias("sum"), F.first("goal").alias("goal"))
+    order = Window.partitionBy("_rank").orderBy(F.xxhash64(F.lit(seed), "_rank", "_block"), "_block")
+    sums = sums.withColumn("before", F.sum("sum").over(order) - F.col("sum")).where("before < goal").drop("goal")
+    near = items.join(small(stored(sums)), ["_rank", "_block"])
+    whole = near.where("before + sum <= goal")
+    turn = Window.partitionBy("_rank", "_block").orderBy(F.xxhash64(F.lit(seed + 1), "_key"), "_key")
+    crossing = near.where("before + sum > goal").withColumn("upto", F.col("before") + F.sum("words").over(turn))
+    crossing = crossing.where("upto - words < goal AND upto <= gap")
+    names = ["_rank", "_block", "_key", "words"]
+    return whole.select(*names).unionByName(crossing.select(*names))
 
 
 def shard_rows(mixed: DataFrame, id_col: str = "doc_id", seed: int = 12) -> DataFrame:
-    """One row per taken copy, dealt to its shard's partition and shuffled there."""
-    copies = mixed.withColumn("shard", F.explode("shards"))
-    return copies.repartition("shard").sortWithinPartitions("shard", F.xxhash64(F.lit(seed), "shard", id_col), id_col)
+    """One row per taken copy, dealt to its shard's ``SHARD_PARTS`` partitions and shuffled there."""
+    turn = F.xxhash64(F.lit(seed), "shard", id_col)
+    copies = mixed.withColumn("shard", F.explode("shards")).withColumn("_part", F.pmod(turn, F.lit(SHARD_PARTS)))
+    return copies.repartition("shard", "_part").sortWithinPartitions("shard", turn, id_col).drop("_part")

@@ -21,14 +21,17 @@ inside its row, labels are joined after the figures are stored, and only the
 grid's counts are shuffled.
 
 Nulls and edges: a null or empty text has no words and fails the base rule
-(n_words < 50); a null stratum is a stratum of its own; a document with labels
-in several rows counts once per row, labels that are null or without document
-don't count; an empty label table leaves the base rule alone.
+(n_words < 50); a null stratum is a stratum of its own; a holdout case is a distinct
+text of a stratum, however many rows, ids or labels it has (copies are no independent
+draws); where its labels disagree it counts for neither side; labels that are null
+or without document don't count; an empty label table leaves the base rule alone.
 Other columns of the input pass through; those named like a figure are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +40,7 @@ from lagoon.llm.tables import small, stored
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 LEAST_WORDS = 50
+ROW_KEY, TEXT_KEY = "__row_key", "__text_key"
 #: Rule -> grid of cutoffs; a document is rejected if its rate is above the cutoff.
 GRID = {
     "symbol_rate": [0.002, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2],
@@ -48,10 +52,12 @@ GRID = {
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more in the text.
+    """Words inside 3-word windows that occur twice or more in the text, exactly at any length.
 
     Window hashes are sorted with their position in the low bits, so equal
-    windows become neighbours: n log n for a text of n words, no pairs.
+    windows become neighbours: n log n for a text of n words, no pairs.  Hash bits
+    get fewer as texts grow, so the windows found this way are only candidates
+    (all true ones are among them); their own words are then sorted and compared.
     """
     n = F.size(words) - 2
     bits = F.ceil(F.log2(n.cast("double") + 1)).cast("int")
@@ -60,19 +66,28 @@ def _repeat_words(words: Column) -> Column:
         return F.sort_array(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.expr("0L").bitwiseOR(
             _shifted(F.xxhash64(words[i], words[i + 1], words[i + 2]), b)).bitwiseOR(i.cast("long"))))
 
-    def covered(keys: Column) -> Column:
-        def same(x: Column, y: Column) -> Column:
-            return _high(x, bits) == _high(y, bits)
-
-        twice = F.filter(keys, lambda x, i: ((i > 0) & same(x, F.get(keys, i - 1))) | (
-            (i < n - 1) & same(x, F.get(keys, i + 1))))
+    def candidates(keys: Column) -> Column:
         mask = _shifted(F.lit(-1).cast("long"), bits).bitwiseXOR(F.lit(-1).cast("long"))
-        at = F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask)))
+        return F.transform(_twice(keys, n, lambda x: _high(x, bits)), lambda x: x.bitwiseAND(mask).cast("int"))
+
+    def windows(at: Column) -> Column:
+        return F.sort_array(F.transform(at, lambda i: F.struct(
+            F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(3)]).alias("w"), i.alias("at"))))
+
+    def covered(found: Column) -> Column:
+        at = F.sort_array(F.transform(_twice(found, F.size(found), lambda x: x["w"]), lambda x: x["at"].cast("long")))
         start = F.struct(F.lit(-3).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
         return F.aggregate(at, start, lambda a, p: F.struct(
             p.alias("last"), (a["n"] + F.least(F.lit(3).cast("long"), p - a["last"])).alias("n")))["n"]
 
-    return F.when(n < 2, F.lit(0).cast("long")).otherwise(let(packed(bits), covered))
+    return F.when(n < 2, F.lit(0).cast("long")).otherwise(
+        let(packed(bits), lambda keys: let(windows(candidates(keys)), covered)))
+
+
+def _twice(keys: Column, n: Column, part: Callable[[Column], Column]) -> Column:
+    """Elements of a sorted array of ``n`` whose ``part`` equals a neighbour's."""
+    return F.filter(keys, lambda x, i: ((i > 0) & (part(x) == part(F.get(keys, i - 1)))) | (
+        (i < n - 1) & (part(x) == part(F.get(keys, i + 1)))))
 
 
 def _high(x: Column, bits: Column) -> Column:
@@ -122,10 +137,16 @@ def certified_cutoffs(figures: DataFrame, labels: DataFrame, stratum: str = "lan
                       error: float = 0.05, price: float = 25.0) -> DataFrame:
     """Rows (stratum, rule, cutoff, n_good, false_rejections, bound, bad_rejected), one per rule that is on.
 
-    ``figures`` has ``doc_id``, the stratum and the rates; ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad).
+    ``figures`` has ``doc_id``, the stratum, the rates and ``TEXT_KEY`` (without it, every id is a text of its own);
+    ``labels`` has ``doc_id`` and ``quality`` (1 good, 0 bad).
     """
-    known = figures.where("NOT base_failed").join(
-        labels.select("doc_id", "quality").where("quality IS NOT NULL AND doc_id IS NOT NULL"), "doc_id")
+    ends = [F.min("least").alias("least"), F.max("most").alias("most")]
+    said = (labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+            .agg(F.min("quality").alias("least"), F.max("quality").alias("most")))
+    text = TEXT_KEY if TEXT_KEY in figures.columns else "doc_id"
+    known = (figures.where("NOT base_failed").join(said, "doc_id").groupBy(stratum, text)
+             .agg(*ends, *[F.first(r).alias(r) for r in GRID])
+             .where("least = most").withColumnRenamed("least", "quality"))
     grid = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(float(c)).alias("cutoff"))
                      for r, cs in GRID.items() for c in cs])
     rate = F.coalesce(*[F.when(F.col("g.rule") == r, F.col(r)) for r in GRID])
@@ -155,14 +176,16 @@ def apply_rules(figures: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -
 
 
 def with_row_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``row_key``, a hash of id and text (equal rows are judged alike)."""
-    return docs.withColumn("row_key", F.xxhash64("doc_id", text_col))
+    """``docs`` with ``ROW_KEY``, 128 bits of id and text (equal rows are judged alike)."""
+    return docs.withColumn(ROW_KEY, F.concat(*[F.hex(F.xxhash64(F.lit(seed), "doc_id", text_col)) for seed in (1, 2)]))
 
 
 def judged(docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum: str = "lang", row_key: bool = False,
            **settings) -> DataFrame:
     """``doc_id``, stratum, figures, ``rejected_by`` and ``kept`` per row of ``docs``; figures are computed once."""
-    names = ["doc_id", stratum, *FIGURES, "base_failed", *GRID, *(["row_key"] if row_key else [])]
+    names = ["doc_id", stratum, *FIGURES, "base_failed", *GRID, TEXT_KEY, *([ROW_KEY] if row_key else [])]
     read = docs.select("doc_id", stratum, text_col)
-    figures = stored(rule_figures(with_row_key(read, text_col) if row_key else read, text_col).select(*names))
-    return apply_rules(figures, certified_cutoffs(figures, labels, stratum, **settings), stratum)
+    keyed = with_row_key(read, text_col) if row_key else read
+    keyed = keyed.withColumn(TEXT_KEY, F.unhex(F.md5(text_col)))
+    figures = stored(rule_figures(keyed, text_col).select(*names))
+    return apply_rules(figures, certified_cutoffs(figures, labels, stratum, **settings), stratum).drop(TEXT_KEY)

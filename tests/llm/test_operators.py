@@ -142,6 +142,32 @@ def test_cutoffs_need_enough_labels_and_hold_their_risk(spark):
     assert quality.certified_cutoffs(f, labels.limit(0)).count() == 0
 
 
+def test_repeat_words_are_exact_where_hash_bits_run_short(spark, monkeypatch):
+    # Hashes of all windows equal: only the comparison of words tells them apart.
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(5).cast("long"))
+    rows = [(1, " ".join(f"w{i}" for i in range(300))), (2, "a b c d a b c x a b c"), (3, "a a a a a"), (4, "a b"), (5, None), (6, "x y z")]
+    got = {r.doc_id: r.n_repeat_words for r in quality.rule_figures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 9, 3: 5, 4: 0, 5: 0, 6: 0}
+
+
+def test_copies_of_a_good_text_do_not_certify(spark):
+    def cutoffs(labels, texts):
+        f = spark.createDataFrame([(i, "en", False, t, 0.1 if i >= 1000 else 0.0) for i, t in texts],
+                                  f"doc_id long, lang string, base_failed boolean, {quality.TEXT_KEY} string, symbol_rate double")
+        f = f.withColumns({r: F.lit(0.0) for r in quality.GRID if r != "symbol_rate"})
+        return {r.rule: r.n_good for r in quality.certified_cutoffs(f, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+
+    bad = [(1000 + i, 0) for i in range(30)]
+    texts = [(i, f"t{i % 60}") for i in range(600)] + [(i, f"bad{i}") for i, _ in bad]
+    few = [(i, 1) for i in range(60)]
+    assert not cutoffs(few + bad, texts)
+    assert not cutoffs(few * 10 + bad, texts)                                   # labels repeated
+    assert not cutoffs([(i, 1) for i in range(600)] + bad, texts)               # texts repeated
+    own = [(i, f"t{i}") for i in range(600)] + texts[600:]
+    assert cutoffs([(i, 1) for i in range(600)] + bad, own) == {"symbol_rate": 600}
+    assert cutoffs([(i, 1) for i in range(600)] + [(0, 0)] + bad, own) == {"symbol_rate": 599}     # labels that disagree
+
+
 def test_mix_meets_targets(spark, docs, empty):
     mixed = mixing.mix(mixing.measured(docs))
     rows = mixed.collect()
@@ -169,6 +195,30 @@ def test_mix_meets_targets(spark, docs, empty):
     assert mixing.shard_rows(mixed).count() == sum(len(r.shards) for r in rows)
 
 
+@pytest.mark.parametrize("first", [0, 1000, 5000])
+def test_a_long_document_does_not_stop_a_mix_short(spark, first):
+    rows = [(first + i, "w " * 200, "a") for i in range(300)] + [(first + 300, "w " * 60_000, "a"), (first + 301, "w " * 60_000, "b"),
+                                                              (first + 302, None, "b"), (first + 303, "w " * 15_000, "b")]
+    rows = [(i, t and f"{t}{i}", s) for i, t, s in rows]
+    got = mixing.mix(mixing.measured(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()
+    for source in "ab":
+        mine = [r for r in got if r.doc_id < first + 301] if source == "a" else [r for r in got if r.doc_id >= first + 301]
+        taken, goal = sum(r.taken for r in mine), mine[0].target
+        assert taken <= goal and all(r.taken <= 2 * r.size and len(r.shards) == r.copies for r in mine)
+        if source == "a":
+            assert taken > 0.99 * goal
+
+
+def test_pipeline_mix_keeps_columns_named_like_its_own(spark):
+    import corpus_pipeline
+    rows = [(i, f"text of {i}", "ab"[i % 2], f"t{i}", [i]) for i in range(40)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, target string, shards array<long>")
+    out = corpus_pipeline.mix_sources(spark, docs, None)
+    assert out.columns == docs.columns and out.schema["shards"].dataType == docs.schema["shards"].dataType
+    assert {r.doc_id for r in out.collect()} <= {r[0] for r in rows}
+    assert all((r.target, r.shards) == (f"t{r.doc_id}", [r.doc_id]) for r in out.where("doc_id IS NOT NULL").collect())
+
+
 def test_quotas_are_exact(spark):
     counts = spark.createDataFrame([(0, 7), (1, 0), (2, 90)], "_rank int, units int")
     quotas = mixing.split_quotas(counts, 3, 1).collect()
