@@ -29,8 +29,8 @@ from lagoon.sources.tables import read_table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
-    judged = quality.judged(docs, labels, row_key=True).where("kept").select("row_key").distinct()
-    return quality.with_row_key(docs).join(judged, "row_key", "left_semi").select(*docs.columns)
+    judged = quality.judged(docs, labels, row_key=True).where("kept").select(quality.ROW_KEY).distinct()
+    return quality.with_row_key(docs).join(judged, quality.ROW_KEY, "left_semi").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,9 @@ def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.shard_rows(mixing.mix(mixing.measured(docs))).select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text", "source")
+    slim = mixing.measured(whole).drop("text", "source")
+    return mixing.shard_rows(mixing.mix(slim)).select("_doc.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
