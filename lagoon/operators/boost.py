@@ -7,7 +7,9 @@ Fitting, for squared loss:
 
 1. The rows are stored once.  One aggregate gives the bin edges of all inputs (approximate
    quantiles, at most ``maxBins`` each; the maximum is one, so "has a value or not" is a split).
-2. Values become one byte per input, rows are stored as (label, margin, bytes).
+2. Values become one byte per input.  They are stored in blocks of up to ``BLOCK_ROWS`` rows, a block
+   being one record of three byte strings (labels, margins, bins input by input): every level reads them
+   all, and handing a task a record per row would cost far more than the few additions on it.
 3. A tree level is one Spark job: every task adds the residuals of its rows to a histogram
    over (node, input, bin), and ``groupBy(cell).sum`` adds the tasks up.  The driver sees
    one row per non-empty cell, at most 2 ** depth x inputs x (maxBins + 2), whatever the data,
@@ -45,6 +47,8 @@ from lagoon.operators.ranges import PART_ROWS, stored_parquet
 from lagoon.session import scratch_path
 
 EDGE_ACCURACY = 10_000
+BLOCK_ROWS = 10_000
+_BLOCK = "y binary, margin binary, bins binary"
 _LOW_BITS = 20
 _TASK_BITS = 31
 
@@ -103,8 +107,17 @@ def _doubles(batch: pa.RecordBatch, first: int, n: int) -> np.ndarray:
     return np.column_stack([batch.column(first + j).to_numpy(zero_copy_only=False).astype(np.float64) for j in range(n)])
 
 
-def _bytes(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+def _block(y: np.ndarray, margin: np.ndarray, bins: np.ndarray) -> pa.RecordBatch:
+    """One record of a block of rows; ``bins`` is rows x inputs and stored input by input."""
+    parts = (y.astype(np.float64, copy=False), margin, np.ascontiguousarray(bins.T))
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts], names=["y", "margin", "bins"])
+
+
+def _blocks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(y, margin, bins) of every block of a batch, ``bins`` as rows x inputs."""
+    for i in range(batch.num_rows):
+        y, margin, bins = (np.frombuffer(batch.column(j)[i].as_buffer(), t) for j, t in enumerate((np.float64, np.float64, np.uint8)))
+        yield y, margin, bins.reshape(width, len(y)).T
 
 
 def quantile_edges(df: DataFrame, cols: list[str], max_bins: int) -> list[np.ndarray]:
@@ -146,7 +159,7 @@ def best_splits(g: np.ndarray, n: np.ndarray, widths: list[int], reg: float, lea
 
 
 def _level_cells(rows: DataFrame, newer: Forest, tree: Forest, slots: np.ndarray, base: float, unit: float) -> DataFrame:
-    """Rows (cell, hi, lo, n): residual sums and counts of the level's nodes; ``slots`` maps heap index to node or -1."""
+    """Rows (cell, hi, lo, n) of stored blocks: residual sums and counts of the level's nodes; ``slots`` maps heap index to node or -1."""
     width, n_bins = len(tree.edges), tree.max_bins + 2
     n_cells = (int(slots.max()) + 1) * width * n_bins
     state = rows.sparkSession.sparkContext.broadcast((newer, tree, slots))
@@ -154,21 +167,21 @@ def _level_cells(rows: DataFrame, newer: Forest, tree: Forest, slots: np.ndarray
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         newer, tree, slots = state.value
         g, n = np.zeros(n_cells, np.int64), np.zeros(n_cells, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            y, margin = _doubles(batch, 0, 2).T
-            bins = _bytes(batch.column(2), width)
+        for y, margin, bins in (block for batch in batches for block in _blocks(batch, width)):
             slot = slots[tree.nodes(0, bins)]
             live = slot >= 0
-            bins, slot = bins[live], slot[live]
-            r = np.rint((y[live] - base - margin[live] - newer.margin(bins)) / unit).astype(np.int64)
-            # bincount adds doubles: both halves stay below 2 ** 53, so the sums are exact.
-            hi, lo = (r >> _LOW_BITS).astype(np.float64), (r & ((1 << _LOW_BITS) - 1)).astype(np.float64)
+            if not live.all():
+                y, margin, bins, slot = y[live], margin[live], np.asfortranarray(bins[live]), slot[live]
+            r = np.rint((y - base - margin - newer.margin(bins)) / unit).astype(np.int64)
+            # bincount adds doubles: whole residuals where no sum can reach 2 ** 53, else both halves, so the sums are exact.
+            whole = int(np.abs(r).max(initial=0)) * len(r) < 1 << 53
+            halves = [(r.astype(np.float64), 0)] if whole else [
+                ((r >> _LOW_BITS).astype(np.float64), _LOW_BITS), ((r & ((1 << _LOW_BITS) - 1)).astype(np.float64), 0)]
+            first = slot * (width * n_bins)
             for j in range(width):
-                cell = (slot * width + j) * n_bins + bins[:, j]
-                g += np.bincount(cell, hi, n_cells).astype(np.int64) << _LOW_BITS
-                g += np.bincount(cell, lo, n_cells).astype(np.int64)
+                cell = first + (j * n_bins + bins[:, j].astype(np.int64))
+                for part, shift in halves:
+                    g += np.bincount(cell, part, n_cells).astype(np.int64) << shift
                 n += np.bincount(cell, minlength=n_cells)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
@@ -265,16 +278,14 @@ class HistBoost(Estimator, _BoostParams, DefaultParamsReadable, DefaultParamsWri
 
         def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    bins = forest.bins(_doubles(batch, 1, len(cols)))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), pa.array(np.zeros(batch.num_rows)), pa.array([b.tobytes() for b in bins], pa.binary())],
-                        names=["y", "margin", "bins"])
+                for at in range(0, batch.num_rows, BLOCK_ROWS):
+                    some = batch.slice(at, BLOCK_ROWS)
+                    yield _block(_doubles(some, 0, 1)[:, 0], np.zeros(some.num_rows), forest.bins(_doubles(some, 1, len(cols))))
 
         kept = scratch_path(spark, "boost-rows")
-        # Levels cost CPU, not reading: the few bytes of a row are spread over all cores once (the count is of footers).
+        # Levels cost CPU, not reading: the blocks are spread over all cores once (the count is of footers).
         parts = max(spark.sparkContext.defaultParallelism, -(-rows.count() // PART_ROWS))
-        rows.mapInArrow(binned, "y double, margin double, bins binary").repartition(parts).write.parquet(kept)
+        rows.mapInArrow(binned, _BLOCK).repartition(parts).write.parquet(kept)
         rows, newer = spark.read.parquet(kept), Forest.empty(forest.edges, max_bins, depth)
         unit = spread / float(1 << 30)
         for i in range(self.get("maxIter") if spread > 0 and cols else 0):
@@ -294,14 +305,13 @@ class HistBoost(Estimator, _BoostParams, DefaultParamsReadable, DefaultParamsWri
 
     @staticmethod
     def _moved(rows: DataFrame, newer: Forest) -> DataFrame:
-        """The stored rows with the newer trees added to their margins."""
+        """The stored blocks with the newer trees added to their margins."""
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if batch.num_rows:
-                    margin = _doubles(batch, 1, 1)[:, 0] + newer.margin(_bytes(batch.column(2), len(newer.edges)))
-                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(margin), batch.column(2)], names=["y", "margin", "bins"])
+                for y, margin, bins in _blocks(batch, len(newer.edges)):
+                    yield _block(y, margin + newer.margin(bins), bins)
 
-        return rows.select("y", "margin", "bins").mapInArrow(add, "y double, margin double, bins binary")
+        return rows.select("y", "margin", "bins").mapInArrow(add, _BLOCK)
 
 
 class HistBoostModel(Model, _BoostParams, MLWritable, MLReadable):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from lagoon.operators import boost
 from lagoon.operators.boost import HistBoost, HistBoostModel
 from lagoon.operators.models import boosted_forecaster
 
@@ -118,3 +119,20 @@ def test_whole_forecaster_reloads_to_the_same_predictions(spark, tmp_dir):
     inputs = PipelineModel(loaded.stages[:-1]).transform(df)
     assert inputs.where("t < 6 AND y_lag_1 IS NULL").count() == 6
     assert inputs.where("k = 'e0' AND s_scaled IS NOT NULL").count() == 0
+
+
+def test_levels_read_blocks_of_rows_and_not_a_record_per_row(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(float(rng.normal()), float(rng.normal()) if rng.random() > 0.2 else None, float(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(3)
+    fit = HistBoost(["a", "b"], "y", maxIter=3, maxDepth=2, maxBins=8, storeEvery=1)
+    stored = []
+    monkeypatch.setattr(boost, "_delete", lambda s, path: stored.append(s.read.parquet(path)))
+    whole = fit.fit(df).forest
+    assert len(stored) == 3 and all(0 < d.count() <= 3 for d in stored)
+    assert all(sum(len(r.y) for r in d.collect()) == 8 * 3000 for d in stored)
+    monkeypatch.setattr(boost, "BLOCK_ROWS", 7)
+    cut = fit.fit(df).forest
+    assert stored[3].count() > 400
+    for name in ("feature", "split", "missing_left", "value"):
+        assert np.array_equal(getattr(whole, name), getattr(cut, name))
