@@ -14,11 +14,13 @@
    by bucket, and signatures once per (class, pivot).
 4. What is still apart inside a bucket is compared block by block: the classes
    outside the bucket's largest component with all its classes (a large bucket is
-   cut into blocks of about ``BLOCK``, one task per pair of blocks); only pairs
-   from different components that pass the estimate leave the task, from the
-   first band they share, and are confirmed on full sets.  All links are closed
+   cut into blocks of about ``BLOCK`` classes and at most about ``BLOCK_SHINGLES`` shingles,
+   one task per pair of blocks).  A first pass names the classes of a task that have a pair from
+   different components, in the first band it shares, that passes the estimate.  Only their full sets
+   go to the task again, which confirms the pairs itself and returns a link wherever two components
+   meet: fewer links than classes, however many pairs pass.  All links are closed
    into components at the end.  Links inside a component would change nothing, so no link between different texts is lost,
-   and a group of k copies costs about k rows, not k * k.
+   and a group of k copies or near copies costs rows in proportion to k and its blocks, not k * k.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8**4)**32 < 1e-7
 and falls below the estimate margin with about 3e-6.
@@ -47,7 +49,7 @@ from lagoon.llm.tables import small, stored
 PERMUTATIONS, BAND_ROWS, LOW_BITS = 128, 4, 8
 BANDS = PERMUTATIONS // BAND_ROWS
 MARGIN = 0.16
-BLOCK = 256
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
 FIRST_BANDS, STAR_ROUNDS = 8, 1
 _RNG = np.random.default_rng(97)
 _A = _RNG.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,29 +145,66 @@ def _to_pivot(least: float):
     return run
 
 
-def _across(least: float, ratio: float):
-    """Pairs of one (bucket, band, block, block) task that lie in different components and pass the estimate."""
+def _apart(table: pa.Table, comp: np.ndarray, lo: int, hi: int, band: int, least: float, ratio: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Per class i of block ``lo`` the classes of block ``hi`` in other components that pass the estimate, in the first band they share.
+
+    ``comp`` is read anew for every class, so components that the caller joins are not compared again.
+    """
+    block = table.column("block").to_numpy()
+    sigs = _matrix(table.column("signature"), np.uint8, PERMUTATIONS)
+    tags = table.column("tags").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    size = table.column("n_shingles").to_numpy()
+    one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    for i in one:
+        js = two[two > i] if lo == hi else two
+        js = js[(comp[js] != comp[i]) & (np.minimum(size[js], size[i]) >= ratio * np.maximum(size[js], size[i]))]
+        if len(js):
+            js = js[estimate(sigs[js], sigs[i]) >= least]
+            js = js[(tags[js] == tags[i]).argmax(axis=1) == band]
+        if len(js):
+            yield int(i), js
+
+
+def _task(key: tuple[pa.Scalar, ...], table: pa.Table) -> tuple[np.ndarray, int, int, int]:
+    """The components of a task's classes as numbers, and its blocks and band."""
+    band, lo, hi = (k.as_py() for k in key[1:])
+    comp = np.unique(np.array(table.column("comp").to_pylist(), dtype="S16"), return_inverse=True)[1]
+    return comp, lo, hi, band
+
+
+def _wanted(least: float, ratio: float):
+    """The rows of one (bucket, band, block, block) task that have a pair to confirm in it."""
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        hit = np.zeros(table.num_rows, bool)
+        for i, js in _apart(table, *_task(key, table), least, ratio):
+            hit[i] = True
+            hit[js] = True
+        return table.filter(pa.array(hit))
+    return run
+
+
+def _across(least: float, ratio: float, percent: int):
+    """Links (a, b) of one task, confirmed on full sets: one wherever two components meet."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        band, lo, hi = (k.as_py() for k in key[1:])
-        block = table.column("block").to_numpy()
-        sigs = _matrix(table.column("signature"), np.uint8, PERMUTATIONS)
-        tags = table.column("tags").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        size = table.column("n_shingles").to_numpy()
-        comp = np.unique(np.array(table.column("comp").to_pylist(), dtype="S16"), return_inverse=True)[1]
-        one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        comp, *where = _task(key, table)
+        members = table.column("members").combine_chunks()
+        size = members.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = np.unique(members.flatten().to_numpy(), return_inverse=True)[1]
+        ends = np.cumsum(size)
+        mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
         found_a, found_b = [], []
-        for i in one:
-            js = two[two > i] if lo == hi else two
-            js = js[(comp[js] != comp[i]) & (np.minimum(size[js], size[i]) >= ratio * np.maximum(size[js], size[i]))]
-            if len(js):
-                js = js[estimate(sigs[js], sigs[i]) >= least]
-                js = js[(tags[js] == tags[i]).argmax(axis=1) == band]
-                found_a.append(np.full(len(js), i))
-                found_b.append(js)
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
+        for i, js in _apart(table, comp, *where, least, ratio):
+            own = flat[ends[i] - size[i]:ends[i]]
+            mark[own] = True
+            common = np.array([np.count_nonzero(mark[flat[ends[j] - size[j]:ends[j]]]) for j in js])
+            mark[own] = False
+            js = js[100 * common >= percent * (size[js] + size[i] - common)]
+            met, first = np.unique(comp[js], return_index=True)
+            found_a += [i] * len(first)
+            found_b += js[first].tolist()
+            comp[np.isin(comp, met)] = comp[i]
         names = table.column("class").combine_chunks()
-        return pa.table({"a": names.take(pa.array(a)), "b": names.take(pa.array(b))})
+        return pa.table({c: names.take(pa.array(x, pa.int64())) for c, x in (("a", found_a), ("b", found_b))})
     return run
 
 
@@ -197,11 +236,12 @@ def _placed(member: DataFrame, label: DataFrame) -> DataFrame:
 def _tops(placed: DataFrame, turn: int) -> DataFrame:
     """Per bucket of several components: the largest one, a pivot of it, and the rows inside and outside of it."""
     pivot = F.min(F.struct(F.xxhash64(F.lit(turn), "class").alias("order"), F.col("class").alias("pivot")))
-    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), pivot.alias("p"))
-    tops = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp", "p.pivot")).alias("top"), F.sum("n").alias("total"),
-                                       F.count("*").alias("comps")).where("comps > 1")
+    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), pivot.alias("p"))
+    tops = parts.groupBy("bucket").agg(F.max(F.struct("n", "comp", "p.pivot", "size")).alias("top"), F.sum("n").alias("total"),
+                                       F.sum("size").alias("size"), F.count("*").alias("comps")).where("comps > 1")
     return tops.select("bucket", F.col("top.comp").alias("comp_p"), "top.pivot", F.col("top.n").alias("n_top"),
-                       (F.col("total") - F.col("top.n")).alias("n_apart"))
+                       (F.col("total") - F.col("top.n")).alias("n_apart"), F.col("top.size").alias("size_top"),
+                       (F.col("size") - F.col("top.size")).alias("size_apart"))
 
 
 def _nearest_pivot(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = some.join(pivots, "bucket").where("class <> pivot").select("class", "pivot")
     near = stored(_nearest_pivot(pairs, classes, percent))
 
-    member = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
+    member = classes.select("class", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     sets = _sets_of(keyed, classes, near.select(F.col("a").alias("class")).union(near.select("b")), width)
     links = drawn_in(_confirmed(near, sets, percent))
 
@@ -252,9 +292,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least, ratio = percent / 100 - MARGIN, percent / 100
     placed = _placed(shared, lowest_known(links))
     cut = placed.join(_tops(placed, STAR_ROUNDS), "bucket")
-    whole = F.col("n_top") + F.col("n_apart") <= BLOCK            # one block, compared with itself
+    whole = (F.col("n_top") + F.col("n_apart") <= BLOCK) & (F.col("size_top") + F.col("size_apart") <= BLOCK_SHINGLES)  # one block, compared with itself
     inside, key = F.col("comp") == F.col("comp_p"), F.xxhash64("class")
-    n_in, n_out = F.ceil(F.col("n_top") / BLOCK).cast("int"), F.ceil(F.col("n_apart") / BLOCK).cast("int")
+    n_in, n_out = (F.ceil(F.greatest(F.col(f"n_{c}") / BLOCK, F.col(f"size_{c}") / BLOCK_SHINGLES)).cast("int") for c in ("top", "apart"))
     block = F.when(whole, 0).when(inside, F.pmod(key, n_in)).otherwise(n_in + F.pmod(key, n_out)).cast("int")
     others = F.when(whole, F.array(F.lit(0))).otherwise(F.sequence(F.when(inside, n_in).otherwise(0), n_in + n_out - 1))
     brief = classes.select("class", "n_shingles", "signature", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("tags"))
@@ -263,8 +303,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("other", F.explode("others"))
         .select("bucket", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
                 "block", "comp", *brief.columns))
-    rest = spread.groupBy("bucket", "band", "lo", "hi").applyInArrow(_across(least, ratio), "a binary, b binary")
-    label = connect(links.union(_confirmed(rest, sets, percent)))
+    task = ["bucket", "band", "lo", "hi"]
+    hits = stored(spread.groupBy(*task).applyInArrow(_wanted(least, ratio), spread.schema))
+    full = hits.join(_sets_of(keyed, classes, hits.select("class"), width), "class")
+    rest = full.groupBy(*task).applyInArrow(_across(least, ratio, percent), "a binary, b binary")
+    label = connect(links.union(rest))
 
     rows = keyed.select("doc_id", "row_id").join(named, "row_id")
     rows = rows.join(label.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -61,6 +61,35 @@ def test_near_duplicates_equal_brute_force(docs, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("block, shingles", [(256, 1 << 20), (16, 2500)])
+def test_many_near_copies_below_the_threshold_are_confirmed_in_their_tasks(spark, monkeypatch, block, shingles):
+    """Texts like one base but not like each other: nearly all pairs pass the estimate, few are links."""
+    rng = np.random.default_rng(11)
+    base = [f"word{i}" for i in range(200)]
+    texts = []
+    for i in range(100):
+        words = list(base)
+        for k in rng.choice(200, 4, replace=False):
+            words[k] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    texts += [texts[3] + " tail", texts[3] + " tail two", texts[50]]
+    sets = [{tuple(t.split()[j:j + 4]) for j in range(len(t.split()) - 3)} for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    label = list(range(len(sets)))
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles, raising=False)
+    handed, linked, confirmed, connect = [], [], minhash._confirmed, minhash.connect
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, *rest: handed.append(pairs.count()) or confirmed(pairs, *rest))
+    monkeypatch.setattr(minhash, "connect", lambda edges: linked.append(edges.count()) or connect(edges))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(label)) and len(set(label)) > 50
+    assert max(handed) <= 2 * len(texts) and max(linked) <= 2 * len(texts)
+
+
 def test_repeated_bytes_equal_brute_force(docs, empty):
     seen, want = set(), {}
     for i, t in _pairs(docs):
