@@ -218,6 +218,26 @@ def test_empty_shards_and_rounds_contribute_nothing(spark):
     assert got.epochs[0]["n_rows"] == 20
 
 
+def test_a_round_is_one_job_of_one_stage_and_reruns_agree_to_the_bit(spark):
+    """A round has no shuffle: shards' sums come as one row each and are added in their order."""
+    df = _toy_set(spark, 200)
+    shape = seqnet.NetShape(n_features=2, n_statics=2, seq_hidden=8, static_hidden=8)
+    stored = spark.read.parquet(write_shards(df, spark, "toy", "k", 4, 3))
+    tracker, got = spark.sparkContext.statusTracker(), []
+    try:
+        for sync_every in (2, 2, 1):
+            group = f"net-{len(got)}"
+            spark.sparkContext.setJobGroup(group, group)
+            got.append(seqnet.train(spark, stored, shape, 3, 3, 2, sync_every, lr=0.02))
+            stages = [len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup(group)]
+            assert stages == [1] * 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert np.array_equal(got[0].params, got[1].params) and got[0].epochs == got[1].epochs
+    assert all(e["n_rows"] == 200 for x in got for e in x.epochs)
+
+
 def test_saved_net_predicts_the_same_in_a_fresh_process(spark, tmp_dir):
     df = _toy_set(spark, 60)
     got = _trained(spark, df, 2, 2, 1, epochs=1)
