@@ -9,10 +9,11 @@
 3. A query walks all trees through one priority queue ordered by the sum of
    squared margins of the splits it crossed, until ``PROBE`` times the leaves of
    one tree were taken.
-4. Vectors and queries meet per block of neighbouring leaves.  Each leaf's
+4. Vectors and queries meet per block of neighbouring leaves.  Each block's
    candidates are ranked by exact double-precision inner product (all that the
-   rounding of a matrix product leaves in question are summed again in component order); a task sends
-   its ``k`` best per query, and these partial lists are merged per query.
+   rounding of a matrix product leaves in question are summed again in component order, those of
+   many queries at once); a block sends its ``k + 1`` best per query, and these
+   partial lists are merged per query by one sort, which brings repeats together.
 
 Recall depends on ``PROBE`` (the README has measured figures); scores are exact.
 
@@ -36,9 +37,9 @@ from pyspark.sql import functions as F
 from lagoon.llm.tables import stored
 
 TREES, SAMPLE, LEAF, PROBE = 8, 50_000, 64, 1.25
-BLOCK_ROWS = 4096
-#: More than the relative rounding error of one addition or product in double precision.
-SLACK = 2.0 ** -51
+BLOCK_ROWS = 8192
+#: More than the relative rounding error of one addition or product in double and in single precision, and than what underflow loses.
+SLACK, SLACK_SINGLE, TINY = 2.0 ** -51, 2.0 ** -22, 1e-37
 
 
 class Tree:
@@ -65,6 +66,7 @@ class Tree:
         self.normals = np.array(normals, np.float32).reshape(len(normals), width)
         self.offsets = np.array(offsets, np.float32)
         self.children = np.array(children, np.int64).reshape(len(children), 2)
+        self.child_pairs = self.children.tolist()
 
     def place(self, vectors: np.ndarray) -> np.ndarray:
         at = np.full(len(vectors), self.root, np.int64)
@@ -96,18 +98,19 @@ def _split(points: np.ndarray, rows: np.ndarray, rng: np.random.Generator):
 
 def leaves_of(forest: list[Tree], query: np.ndarray, wanted: int) -> list[tuple[int, int]]:
     """The first ``wanted`` leaves (tree, leaf) of the shared priority queue."""
-    margins = [t.normals @ query - t.offsets for t in forest]
+    margins = [(t.normals @ query - t.offsets).tolist() for t in forest]
+    children = [t.child_pairs for t in forest]
     queue = [(0.0, i, t.root) for i, t in enumerate(forest)]
     heapq.heapify(queue)
     out = []
     while queue and len(out) < wanted:
         far, i, node = heapq.heappop(queue)
         while node >= 0:
-            m = float(margins[i][node])
-            left, right = forest[i].children[node]
+            m = margins[i][node]
+            left, right = children[i][node]
             node, other = (right, left) if m > 0 else (left, right)
-            heapq.heappush(queue, (far + m * m, i, int(other)))
-        out.append((i, ~int(node)))
+            heapq.heappush(queue, (far + m * m, i, other))
+        out.append((i, ~node))
     return out
 
 
@@ -181,23 +184,45 @@ def _rank(k: int):
         flat = lists.flatten().to_numpy() - low
         inside = (flat >= 0) & (flat < width)
         open_leaves[owner[inside], flat[inside]] = True
-        who, hits = asked.column("query").to_numpy(), []
-        double = vectors.astype(np.float64)
-        lengths = np.linalg.norm(double, axis=1)
-        for start in range(0, len(queries), 256):
-            some = queries[start:start + 256]
-            opened = open_leaves[start:start + 256][:, leaf - low]
-            rough = np.where(opened, some.astype(np.float64) @ double.T, -np.inf)
-            take = min(k + 1, rough.shape[1])
-            last = -np.partition(-rough, take - 1, axis=1)[:, take - 1]
-            for r in range(len(some)):
-                # Both sums of a product are off by at most ``slack``, whatever their order.
-                slack = SLACK * some.shape[1] * lengths * np.linalg.norm(some[r].astype(np.float64))
-                at = np.flatnonzero(opened[r] & (rough[r] + 2 * slack >= last[r] - 2 * slack.max()))
-                score = inner_products(np.repeat(some[r:r + 1], len(at), axis=0), vectors[at])
-                order = np.lexsort((names[at], -score))[:k + 1]
-                hits.append([{"far": -float(score[o]), "class": int(names[at[o]])} for o in order])
-        return pa.table([pa.array(who, pa.int64()), pa.array(hits, schema.field("hits").type)], schema=schema)
+        who, parts = asked.column("query").to_numpy(), []
+        longest = np.linalg.norm(vectors.astype(np.float64), axis=1).max()
+        lengths = np.linalg.norm(queries.astype(np.float64), axis=1)
+        # Single precision is enough to leave out candidates, where no sum can overflow.
+        kind, error = (np.float32, SLACK_SINGLE) if longest * lengths.max() < 1e30 else (np.float64, SLACK)
+        turned = np.ascontiguousarray(vectors.T, kind)
+        # Both sums of a product are off by at most ``slack``, whatever their order (the last term is for underflow).
+        slack = error * vectors.shape[1] * (longest * lengths) + vectors.shape[1] * TINY
+        take = min(k + 1, len(names))
+        for start in range(0, len(queries), 128):
+            some = queries[start:start + 128]
+            opened = open_leaves[start:start + 128][:, leaf - low]
+            rough = some.astype(kind) @ turned
+            rough[~opened] = -np.inf
+            last = np.partition(rough, len(names) - take, axis=1)[:, len(names) - take].astype(np.float64)
+            row, at = np.nonzero(opened & (rough >= (last - 4 * slack[start:start + 128])[:, None]))
+            score = inner_products(some[row], vectors[at])
+            order = np.lexsort((names[at], -score, row))
+            row, at, score = row[order], at[order], score[order]
+            shown = np.arange(len(row)) - np.searchsorted(row, row, side="left") <= k
+            parts.append((np.bincount(row[shown], minlength=len(some)), -score[shown], names[at[shown]]))
+        n, far, name = (np.concatenate(x) for x in zip(*parts))
+        hits = pa.StructArray.from_arrays([pa.array(far), pa.array(name, pa.int64())], names=["far", "class"])
+        ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        return pa.table([pa.array(who, pa.int64()), pa.ListArray.from_arrays(ends, hits)], schema=schema)
+    return run
+
+
+def _merge(k: int):
+    def run(lists: pa.Table) -> pa.Table:
+        hits = lists.column("hits").combine_chunks().flatten()
+        far, name = hits.field("far").to_numpy(), hits.field("class").to_numpy()
+        order = np.lexsort((name, far))
+        far, name = far[order], name[order]
+        new = np.ones(len(name), dtype=bool)
+        new[1:] = name[1:] != name[:-1]                       # a class has the same score in all its leaves
+        best = np.flatnonzero(new)[:k + 1]
+        return pa.table({"query": lists.column("query").slice(0, 1).take(pa.array(np.zeros(len(best), np.int64))),
+                         "class": pa.array(name[best], pa.int64()), "score": pa.array(-far[best], pa.float64())})
     return run
 
 
@@ -236,8 +261,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         _probe(forest, per_block, wanted), "tree long, block long, leaves array<long>, query long, vector array<float>")
     partial = placed.groupBy("tree", "block").cogroup(probes.groupBy("tree", "block")).applyInArrow(
         _rank(k), "query long, hits array<struct<far:double,class:bigint>>")
-    merged = partial.groupBy("query").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k + 1).alias("hits"))
-    hits = merged.select("query", F.explode("hits").alias("h")).select("query", F.col("h.class").alias("class"), (-F.col("h.far")).alias("score"))
+    hits = partial.groupBy("query").applyInArrow(_merge(k), "query long, class long, score double")
     pairs = asked.withColumnRenamed("class", "query").withColumnRenamed("vec_id", "query_id").join(hits, "query")
     found = pairs.join(shown, "class").where("vec_id <> query_id")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
