@@ -144,27 +144,70 @@ def _place(forest, per_block: int):
     return run
 
 
+class Probes:
+    """The first ``wanted`` leaves of ``leaves_of`` for many queries at once.
+
+    The queue yields leaves in rising order of their sums, so its first ones are those of the smallest sums, which
+    are formed for all leaves level by level, with the same additions.  Where the last sum taken is also the
+    next one's, the queue itself decides.
+    """
+
+    def __init__(self, forest: list[Tree], wanted: int):
+        self.forest, self.wanted = forest, wanted
+        nodes = np.concatenate([[0], np.cumsum([len(t.normals) for t in forest])])
+        self.leaf_base = np.concatenate([[0], np.cumsum([t.leaves for t in forest])])
+        # Inner nodes of all trees are numbered on; leaves follow them.
+        children = [np.where(t.children >= 0, t.children + n, nodes[-1] + base + ~t.children)
+                    for t, n, base in zip(forest, nodes, self.leaf_base)]
+        self.children, self.inner = np.concatenate(children), int(nodes[-1])
+        self.roots = np.array([n + t.root if t.root >= 0 else self.inner + base + ~t.root
+                               for t, n, base in zip(forest, nodes, self.leaf_base)], np.int64)
+        self.levels, level = [], self.roots[self.roots < self.inner]
+        while len(level):
+            self.levels.append(level)
+            level = self.children[level].reshape(-1)
+            level = level[level < self.inner]
+
+    def __call__(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, tree, leaf), ordered."""
+        margin = np.empty((self.inner, len(queries)))
+        for r, query in enumerate(queries):
+            margin[:, r] = np.concatenate([t.normals @ query - t.offsets for t in self.forest])
+        far = np.zeros((self.inner + int(self.leaf_base[-1]), len(queries)))
+        for level in self.levels:
+            m, (left, right) = margin[level], self.children[level].T
+            crossed = far[level] + m * m
+            far[left] = np.where(m > 0, crossed, far[level])
+            far[right] = np.where(m > 0, far[level], crossed)
+        sums = far[self.inner:].T
+        if self.wanted >= sums.shape[1]:
+            taken = np.ones(sums.shape, dtype=bool)
+        else:
+            last = np.partition(sums, self.wanted - 1, axis=1)[:, self.wanted - 1]
+            taken = sums <= last[:, None]
+            for r in np.flatnonzero(taken.sum(axis=1) != self.wanted):
+                taken[r] = False
+                taken[r, [self.leaf_base[i] + leaf for i, leaf in leaves_of(self.forest, queries[r], self.wanted)]] = True
+        row, at = np.nonzero(taken)
+        tree = np.searchsorted(self.leaf_base, at, side="right") - 1
+        return row, tree, at - self.leaf_base[tree]
+
+
 def _probe(forest, per_block: int, wanted: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = forest.value
+        probes = Probes(forest.value, wanted)
         for batch in batches:
             if not batch.num_rows:
                 continue
             vectors = _matrix(batch.column("vector"), batch.num_rows)
             for start in range(0, batch.num_rows, 256):
-                row, tree, block, leaves = [], [], [], []
-                for r in range(start, min(start + 256, batch.num_rows)):
-                    found: dict[tuple[int, int], list[int]] = {}
-                    for i, leaf in leaves_of(trees, vectors[r], wanted):
-                        found.setdefault((i, leaf // per_block), []).append(leaf)
-                    for (i, b), ls in found.items():
-                        row.append(r)
-                        tree.append(i)
-                        block.append(b)
-                        leaves.append(ls)
-                at = pa.array(row, pa.int64())
+                row, tree, leaf = probes(vectors[start:start + 256])
+                block = leaf // per_block
+                new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(tree, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+                leaves = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(leaf, pa.int64()))
+                at = pa.array(start + row[new], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tree, pa.int64()), pa.array(block, pa.int64()), pa.array(leaves, pa.list_(pa.int64())),
+                    [pa.array(tree[new], pa.int64()), pa.array(block[new], pa.int64()), leaves,
                      batch.column("class").take(at), batch.column("vector").take(at)],
                     names=["tree", "block", "leaves", "query", "vector"])
     return run
@@ -197,7 +240,7 @@ def _rank(k: int):
             some = queries[start:start + 128]
             opened = open_leaves[start:start + 128][:, leaf - low]
             rough = some.astype(kind) @ turned
-            rough[~opened] = -np.inf
+            np.putmask(rough, ~opened, -np.inf)
             last = np.partition(rough, len(names) - take, axis=1)[:, len(names) - take].astype(np.float64)
             row, at = np.nonzero(opened & (rough >= (last - 4 * slack[start:start + 128])[:, None]))
             score = inner_products(some[row], vectors[at])

@@ -38,3 +38,14 @@ def test_neighbour_lists_are_merged_by_one_sort(spark):
     rows = [(i, [float(i % 7 + 1), float(i % 11)]) for i in range(80)]
     plan = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3)._jdf.queryExecution().toString()
     assert "array_distinct" not in plan                          # it took time as the square of a query's hits
+
+
+def test_leaves_of_many_queries_are_those_of_the_queue():
+    rng = np.random.default_rng(8)
+    for points in (rng.normal(size=(900, 6)), rng.integers(0, 3, (900, 6)).astype(float), np.ones((50, 6))):
+        points = points.astype(np.float32)
+        forest = [ann.Tree(points, leaf, 3 + leaf) for leaf in (8, 9, 2000)]
+        queries = np.concatenate([points[:40], np.zeros((1, 6), np.float32)])
+        for wanted in (3, 60, 10_000):
+            want = [(r, i, leaf) for r, q in enumerate(queries) for i, leaf in sorted(ann.leaves_of(forest, q, wanted))]
+            assert list(zip(*(x.tolist() for x in ann.Probes(forest, wanted)(queries)))) == want
