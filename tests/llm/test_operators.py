@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lagoon.llm import ann, chat, licenses, minhash, mixing, pieces, pii, quality, rindex, toxicity
+from lagoon.llm import textbatch as tb
+from lagoon.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, class string, n int, found string"
@@ -140,6 +142,83 @@ def test_run_index_finds_all_occurrences():
         assert got == want
 
 
+def test_index_gets_only_contexts_that_share_more_than_their_anchor(monkeypatch):
+    rng = np.random.default_rng(17)
+
+    def noise(n):
+        return bytes(rng.integers(33, 127, n).tolist())
+
+    def value(gram):
+        return tb.span_hashes(tb.prefix_hashes(np.frombuffer(gram, np.uint8)), np.zeros(1, int), np.array([16]))[0]
+
+    # Per anchor (a gram of a small hash): thirty texts that share its 16 bytes only, four that share some 50 or more, and the stretches met by chance.
+    texts = []
+    for _ in range(20):
+        gram, core = min((noise(16) for _ in range(300)), key=value), noise(60)
+        texts += [noise(60) + gram + noise(60) for _ in range(30)]
+        texts += [noise(5 + i) + core[i:] + core[:i % 2] + noise(40) for i in range(4)]
+    texts += [b"ab" * 60, b"ab" * 45, b"abb" * 30, b"x" + b"ab" * 60]
+    ids = rng.permutation(len(texts))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    a, b, anchor, _, owner = rindex.anchors(data, offsets)
+    docs, strings = ids[owner], [data[x:y].tobytes() for x, y in zip(a, b, strict=True)]
+    lowest = {k: docs[anchor == k].min() for k in set(anchor.tolist())}
+    later = np.array([d > lowest[k] for d, k in zip(docs, anchor.tolist(), strict=True)])
+    start = (a - offsets[owner]).astype(np.int32)
+    table = pa.table({"anchor": anchor.view(np.int64), "doc_id": docs, "start": start, "later": later, "bytes": pa.array(strings, pa.binary())})
+    handed, covered = [], rindex.covered_windows
+
+    def counted(strings, docs, asked, *rest, **more):
+        handed.append((len(strings), int(asked.sum())))
+        return covered(strings, docs, asked, *rest, **more)
+
+    monkeypatch.setattr(rindex, "covered_windows", counted)
+    got = rindex._match((), table).to_pydict()
+    got = {(d, j) for d, s, e in zip(got["doc_id"], got["start"], got["end"], strict=True) for j in range(s, e - 49)}
+    want = {(docs[o], start[o] + j) for o, x, y in covered(strings, docs, later).tolist() for j in range(x, y + 1)}
+    assert got == want and len(want) > 100
+    crowded = sum(int(n) for n in np.unique(anchor, return_counts=True)[1] if n > 1)
+    assert handed[0][0] < crowded / 2 and handed[0][1] < later.sum() / 2
+
+
+def test_anchors_are_the_leftmost_least_over_slices():
+    values = np.random.default_rng(4).integers(0, 9, (1 << 24) + 300).astype(np.uint64)
+    got = rindex._leftmost_least(values, 35)
+    assert len(got) == len(values) - 34
+    for i in [*range(50), *range((1 << 24) - 80, (1 << 24) + 266)]:
+        assert got[i] == i + values[i:i + 35].argmin()
+
+
+def test_stretches_merge_to_maximal_runs():
+    rng = np.random.default_rng(12)
+    for _ in range(50):
+        sizes = rng.integers(0, 40, 6)
+        rows, a = rng.integers(0, 6, 12), rng.integers(0, 45, 12)
+        b = a + rng.integers(1, 9, 12)
+        line = [[any(r == i and x <= j < y for r, x, y in zip(rows, a, b, strict=True)) for j in range(n)] for i, n in enumerate(sizes)]
+        want = [(i, j, next((k for k in range(j, len(gone)) if not gone[k]), len(gone)))
+                for i, gone in enumerate(line) for j in range(len(gone)) if gone[j] and (j == 0 or not gone[j - 1])]
+        assert [*zip(*(x.tolist() for x in rindex._merged(rows, a, b, sizes)), strict=True)] == want
+
+
+def test_texts_are_shuffled_once_for_fetching_and_cutting(spark):
+    passage = " ".join(f"shared{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"{'abc'[i % 3]}{passage}{'xyz'[i % 3]} {i * 7919}") for i in range(30)], "doc_id long, text string")
+    path = scratch_path(spark, "texts")
+    docs.write.parquet(path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for tables too large to broadcast
+    try:
+        out = rindex.deduplicated(spark.read.parquet(path))
+        assert out.count() == 30
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_rule_figures_equal_brute_force(docs, empty):
     got = {r.doc_id: r for r in quality.rule_figures(docs).collect()}
     for i, t in _pairs(docs):
