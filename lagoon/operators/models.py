@@ -2,8 +2,9 @@
 
 ``boosted_forecaster`` passes missing lags and statics to histogram trees as they are;
 each split learns the side of missing values (``operators/boost.py``).
-``gbt_forecaster`` uses Spark ML's ``GBTRegressor``, which rejects NaN
-features: missing lags enter as 0.0 plus their 1 = missing mask flags.
+``gbt_forecaster`` uses Spark ML's ``GBTRegressor`` (trained on blocks of binned rows,
+``operators/gbt.py``), which rejects NaN features: missing lags enter as 0.0 plus
+their 1 = missing mask flags.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from lagoon.operators.assemble import vector_assembler
 from lagoon.operators.boost import HistBoost
 from lagoon.operators.collapse import CollapseMask, FillMissing
 from lagoon.operators.folds import fold_moments, stats_without
+from lagoon.operators.gbt import BlockGBTRegressor
 from lagoon.operators.lag import ScaledLag, ScaledLagModel, lag_names
 from lagoon.operators.metrics import regression_metrics
 from lagoon.operators.ranges import stored_parquet
@@ -47,8 +48,8 @@ def gbt_forecaster(entity: str, order_cols: Sequence[str], features: Sequence[st
         ColumnScaler(inputCols=list(statics_to_scale)),
         FillMissing(inputCols=statics),
         vector_assembler(inputs, "features", handle_invalid="keep"),
-        GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
-                     maxIter=max_iter, maxDepth=max_depth, seed=seed),
+        BlockGBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction",
+                          maxIter=max_iter, maxDepth=max_depth, seed=seed),
     ]
     return Pipeline(stages=stages)
 
@@ -97,7 +98,7 @@ def grouped_cv(panel: DataFrame, entity: str, order_cols: Sequence[str], feature
     statics = [*[f"{c}_scaled" for c in statics_to_scale], *flags]
     assembler = vector_assembler([*lags, *[f"{c}_mask" for c in lags], *statics, *[f"{c}_missing" for c in statics]],
                                  "features", handle_invalid="keep")
-    trees = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter, maxDepth=max_depth, seed=seed)
+    trees = BlockGBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter, maxDepth=max_depth, seed=seed)
 
     def fit(fold: int | None):
         stats = validate_stats(stats_without(moments, fold))
