@@ -2,10 +2,10 @@
 
 ``BlockGBTRegressor`` is the same estimator (same params, same algorithm, a Spark ``GBTRegressionModel`` as its result);
 only the training loop is another.  Spark's own spends over a microsecond on every row and level, 500 times for 100
-trees of depth 5, and reads its input three times.  Here:
+trees of depth 5.  Here:
 
-1. Label and features are stored once.  The thresholds are chosen as Spark's trees choose them, from as many sampled
-   rows (all rows, if they are no more).
+1. Label and features are stored.  The thresholds are chosen as Spark's trees choose them, from the same sample (of
+   about ``SAMPLE_ROWS`` rows, read from the input itself; all stored rows, if they are no more).
 2. Values become bins.  Inputs are packed into joint codes of at most ``CELLS`` values (two inputs of 32 bins, ten of two),
    so one count over a code serves several inputs; its sums over the other inputs are each input's histogram.  Rows are
    stored in blocks of up to ``BLOCK_ROWS``, a block being one record of byte strings: what is left of the labels, and the codes.
@@ -474,14 +474,21 @@ class BlockGBTRegressor(GBTRegressor):
         path = scratch_path(spark, "gbt-input")
         dataset.select(F.col(get("labelCol")).cast("double").alias("y"), vector_to_array(get("featuresCol")).alias("x")).write.parquet(path)
         try:
-            trees, width = self._trees(spark, spark.read.parquet(path))
+            trees, width = self._trees(dataset, spark.read.parquet(path))
         finally:
             _delete(spark, path)
         return self._copyValues(self._model(spark, trees, width)) if trees else super()._fit(dataset)
 
-    def _trees(self, spark: SparkSession, stored: DataFrame) -> tuple[list[dict[int, tuple]], int]:
+    def _sampled(self, dataset: DataFrame, share: float) -> DataFrame:
+        """The rows that Spark's fit samples for its thresholds: drawn by partition, so from the dataset as it is laid out."""
+        spark = dataset.sparkSession
+        rows = dataset.select(F.col(self.getOrDefault("labelCol")).alias("y"), vector_to_array(self.getOrDefault("featuresCol")).alias("x"))._jdf
+        seed = spark._jvm.org.apache.spark.util.random.XORShiftRandom(self.getOrDefault("seed")).nextInt()
+        return DataFrame(spark._jsparkSession.createDataFrame(rows.rdd().sample(False, share, seed), rows.schema()), spark).select("x")
+
+    def _trees(self, dataset: DataFrame, stored: DataFrame) -> tuple[list[dict[int, tuple]], int]:
         """Nodes by heap index of every tree, and the number of inputs; no trees for rows that are left to Spark."""
-        get, inf = self.getOrDefault, float("inf")
+        get, inf, spark = self.getOrDefault, float("inf"), dataset.sparkSession
         refused = (F.col("y").isNull() | F.isnan("y") | (F.abs("y") == inf) | F.col("x").isNull() | F.isnan(F.array_max("x"))
                    | (F.array_max("x") == inf) | (F.array_min("x") == -inf))
         n, bad, largest, width, widest = stored.agg(
@@ -489,7 +496,7 @@ class BlockGBTRegressor(GBTRegressor):
         if not n or bad or width != widest:
             return [], 0                                       # Spark's fit names what is wrong
         share = min(1.0, max(get("maxBins") ** 2, SAMPLE_ROWS) / n)
-        sampled = stored.select("x") if share == 1.0 else stored.select("x").sample(False, share, get("seed"))
+        sampled = stored.select("x") if share == 1.0 else self._sampled(dataset, share)
         x = np.asarray(sampled.toArrow()["x"].combine_chunks().flatten()).reshape(-1, width)
         layout = Layout([thresholds(x[:, j], share * n, min(get("maxBins"), n) - 1) for j in range(width)])
         if not layout.groups:

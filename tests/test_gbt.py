@@ -86,3 +86,11 @@ def test_other_fits_are_left_to_spark(spark):
     assert flat.transform(df).where("prediction <> 0").count() == 0
     with pytest.raises(Exception, match="Labels MUST NOT be Null or NaN"):
         gbt.BlockGBTRegressor(labelCol="y", maxIter=2).fit(df.withColumn("y", F.when(F.col("c") == 0, F.col("y"))))
+
+
+def test_thresholds_of_many_rows_come_from_the_sample_that_spark_draws(spark, tmp_dir):
+    _rows(spark, 12_000).drop("features").write.parquet(f"{tmp_dir}/rows")              # read in the same order each time
+    df = VectorAssembler(inputCols=COLS, outputCol="features").transform(spark.read.parquet(f"{tmp_dir}/rows"))
+    want, got = (cls(labelCol="y", maxIter=2, maxDepth=3, seed=7).fit(df) for cls in (GBTRegressor, gbt.BlockGBTRegressor))
+    splits = [[line for line in m.toDebugString.split("\n")[1:] if "Predict" not in line] for m in (want, got)]
+    assert splits[0] == splits[1] and len(splits[0]) > 20
